@@ -49,8 +49,8 @@ def numbers_up_to(df: DataFrame, upper: Column, name: str = "n") -> DataFrame:
 
 def powers_up_to(df: DataFrame, bound: Column, base: int = 2, name: str = "power") -> DataFrame:
     """1, base, base**2, ... up to the first power that reaches ``bound``."""
-    steps = F.greatest(F.ceil(F.log(float(base), bound)).cast("int"), F.lit(0))
-    exponents = F.sequence(F.lit(0), steps)
-    return df.select(
-        F.explode(F.transform(exponents, lambda e: F.pow(F.lit(base), e).cast("long"))).alias(name)
-    )
+    top = 0
+    while base ** (top + 1) < 2**62:
+        top += 1
+    every = F.transform(F.sequence(F.lit(0), F.lit(top)), lambda e: F.pow(F.lit(base), e).cast("long"))
+    return df.select(F.explode(F.filter(every, lambda p: p < bound * base)).alias(name))

@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from catalog import datasets  # noqa: F401
+from catalog import calendars, cleaning, datasets, rows, sources  # noqa: F401
