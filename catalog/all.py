@@ -1,3 +1,5 @@
 """Importing this module registers every query."""
 
-from catalog import calendars, cleaning, datasets, rows, sources  # noqa: F401
+from catalog import (  # noqa: F401
+    aggregates, calendars, cleaning, datasets, joining, rows, sources, windows,
+)
