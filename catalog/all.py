@@ -1,5 +1,6 @@
 """Importing this module registers every query."""
 
 from catalog import (  # noqa: F401
-    aggregates, calendars, cleaning, datasets, joining, rows, sources, windows,
+    aggregates, analyses, bimeasures, calendars, cleaning, datasets, joining, reports, rows, sets,
+    sources, tablechanges, windows,
 )

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from assaymill.plans import gold, silver
-from catalog.model_sql import datekey, sql
+from pyspark.sql import functions as F
+
+from assaymill.functions.numbers import money_sum
+from assaymill.operators import joins, quality
+from assaymill.plans import bi, gold, silver
+from assaymill.runtime import bounded
+from catalog.model_sql import datekey, esum, isum, rnd, sql
 from catalog.registry import query
+from catalog.sets import NEWEST, TIE
 
 
 @query("silver_customers", sql("SELECT * FROM silver_customers"))
@@ -71,3 +77,115 @@ def agg_customer_ltv(t):
 @query("agg_daily_sales", sql("SELECT * FROM daily"))
 def agg_daily_sales(t):
     return t.daily
+
+
+@query("agg_quarterly_by_category", sql(f"""
+    SELECT year, quarter, category, COUNT(*) AS order_line_count, {isum('quantity')} AS total_quantity,
+           {esum('net_amount')} AS total_net_amount
+    FROM fact JOIN cal USING (datekey) JOIN prod USING (product_id) GROUP BY year, quarter, category"""))
+def agg_quarterly_by_category(t):
+    return gold.agg_quarterly_by_category(t.fact, t.calendar, t.products)
+
+
+def _slice_sql(label: str, column: str, joined: str) -> str:
+    return (f"SELECT '{label}' AS dimension, {column} AS member, year, COUNT(*) AS order_line_count, "
+            f"{isum('quantity')} AS total_quantity, {esum('net_amount')} AS total_net_amount "
+            f"FROM fact JOIN cal USING (datekey) {joined} GROUP BY {column}, year")
+
+
+@query("sales_by_dimension", sql(" UNION ALL ".join([
+    _slice_sql("channel", "channel", ""),
+    _slice_sql("payment_method", "payment_method", ""),
+    _slice_sql("region", "region", "JOIN emp USING (employee_id)"),
+    _slice_sql("brand", "brand", "JOIN prod USING (product_id)"),
+    _slice_sql("subcategory", "subcategory", "JOIN prod USING (product_id)"),
+])))
+def sales_by_dimension(t):
+    """Net sales per year by five attributes; each slice reads only the columns it needs."""
+    years = (bounded(t.calendar), "datekey")
+    slices = {
+        "channel": [], "payment_method": [], "region": [(t.employees, "employee_id")],
+        "brand": [(t.products, "product_id")], "subcategory": [(t.products, "product_id")],
+    }
+    return quality.stacked([
+        gold.rollup(t.fact, [years, *dims], [attribute, "year"]).select(
+            F.lit(attribute).alias("dimension"), F.col(attribute).alias("member"), "year",
+            "order_line_count", "total_quantity", "total_net_amount")
+        for attribute, dims in slices.items()])
+
+
+@query("rollup_reconciliation", sql("""
+    SELECT (SELECT COUNT(*) FROM fact) AS fact_rows,
+           (SELECT CAST(SUM(order_line_count) AS BIGINT) FROM monthly) AS rolled_up_rows,
+           (SELECT COUNT(*) FROM fact f WHERE datekey IS NULL
+            OR NOT EXISTS (SELECT 1 FROM prod p WHERE p.product_id = f.product_id)) AS excluded_rows"""))
+def rollup_reconciliation(t):
+    fact = silver.flag_orphans(t.fact, "product_id", t.products, "is_product_orphan")
+    excluded = fact.where("datekey IS NULL OR is_product_orphan = 1")
+    return joins.scalar_row(t.spark, {
+        "fact_rows": t.fact.agg(F.count("*")),
+        "rolled_up_rows": t.monthly.agg(F.sum("order_line_count")),
+        "excluded_rows": excluded.agg(F.count("*"))})
+
+
+@query("snowflake_normalize", sql(f"""
+    SELECT dense_rank() OVER (ORDER BY category) AS category_id, category, COUNT(*) AS order_lines,
+           {esum('net_amount')} AS net_amount
+    FROM lines JOIN prod USING (product_id) WHERE category IS NOT NULL GROUP BY category"""))
+def snowflake_normalize(t):
+    slim, categories = bi.snowflake_normalize(t.products, "category", "product_id", "category_id")
+    sold = t.lines.join(slim, "product_id").groupBy("category_id").agg(
+        F.count("*").alias("order_lines"), money_sum(F.col("net_amount")).alias("net_amount"))
+    return sold.join(categories, "category_id")
+
+
+FLAT = f"""
+    SELECT f.order_id, f.order_line_id, f.order_date, c.full_name AS customer_name, c.customer_segment,
+           c.state AS customer_state, p.product_name, p.category AS product_category, p.brand AS product_brand,
+           e.full_name AS sales_rep_name, e.region AS sales_region, f.quantity, f.unit_price, f.discount_pct,
+           {rnd('f.quantity * f.unit_price')} AS gross_amount, f.net_amount,
+           CASE WHEN f.discount_pct >= 0.2::DOUBLE THEN 'High Discount (20%+)' WHEN f.discount_pct > 0 THEN 'Standard Discount'
+                ELSE 'Full Price' END AS discount_tier, f.payment_method, f.order_status, f.channel
+    FROM ({NEWEST}) f LEFT JOIN cust c USING (customer_id) LEFT JOIN prod p USING (product_id)
+    LEFT JOIN emp e USING (employee_id)"""
+
+
+@query("flat_sales_all", sql(FLAT))
+def flat_sales_all(t):
+    return bi.flat_sales_all(t.fact, t.customers, t.products, t.employees, TIE)
+
+
+@query("flat_sales_completed", sql(f"""
+    SELECT f.order_id, f.order_line_id, f.order_date, c.full_name AS customer_name, p.product_name,
+           p.category AS product_category, f.quantity, f.net_amount, f.channel
+    FROM ({NEWEST.replace('FROM fact', "FROM fact WHERE order_status = 'Completed'")}) f
+    LEFT JOIN cust c USING (customer_id) LEFT JOIN prod p USING (product_id)"""))
+def flat_sales_completed(t):
+    return bi.flat_sales_completed(t.fact, t.customers, t.products, TIE)
+
+
+STAR_SIZES = {
+    "fact_sales": "SELECT COUNT(*) FROM newest",
+    "dim_customer": "SELECT COUNT(DISTINCT customer_id) FROM cust WHERE customer_id IN (SELECT customer_id FROM newest)",
+    "dim_product": "SELECT COUNT(DISTINCT product_id) FROM prod WHERE product_id IN (SELECT product_id FROM newest)",
+    "dim_employee": "SELECT COUNT(DISTINCT employee_id) FROM emp WHERE employee_id IN (SELECT employee_id FROM newest)",
+    "dim_date": "SELECT COUNT(DISTINCT datekey) FROM cal WHERE datekey IN (SELECT datekey FROM newest)",
+}
+
+
+def _star(t):
+    return bi.star_extract(t.fact, t.customers, t.products, t.employees, t.calendar, TIE)
+
+
+@query("star_extract", sql(f"""
+    SELECT order_id, order_line_id, customer_id, product_id, employee_id, datekey, quantity, unit_price,
+           discount_pct, net_amount, payment_method, order_status, channel FROM ({NEWEST})"""))
+def star_extract(t):
+    return _star(t)["fact_sales"]
+
+
+@query("star_extract_sizes", sql(" UNION ALL ".join(
+    f"SELECT '{name}' AS check_name, ({count}) AS actual" for name, count in STAR_SIZES.items()),
+    newest=NEWEST))
+def star_extract_sizes(t):
+    return quality.stacked([quality.row_count(df, name) for name, df in _star(t).items()])
