@@ -37,16 +37,16 @@ def anti_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 def not_in(left: DataFrame, key: str, right: DataFrame) -> DataFrame:
     """SQL ``NOT IN``: empty when ``right`` holds a NULL, NULL keys on the left drop out.
 
-    Two scalar facts about the right side decide that, and the rows themselves
+    One scalar fact about the right side decides that, and the rows themselves
     use the ordinary anti join; the built-in null-aware form needs the whole
     right side on every executor.
     """
     values = right.select(F.col(key).alias("_v"))
-    facts = values.agg(F.count("*").alias("n"), F.count("_v").alias("n_valued"))
-    has_null = facts.select(F.col("n") > F.col("n_valued")).scalar()
-    is_empty = facts.select(F.col("n") == 0).scalar()
+    state = F.when(F.count("*") == 0, "empty").when(F.count("*") > F.count("_v"), "has null")
+    kind = values.agg(state.otherwise("plain")).scalar()
     rest = left.join(values, F.col(key) == F.col("_v"), "left_anti")
-    return rest.where(~has_null).where(is_empty | F.col(key).isNotNull())
+    return rest.where(
+        (kind == "empty") | ((kind == "plain") & F.col(key).isNotNull()))
 
 
 def point_in_time_join(
@@ -68,7 +68,10 @@ def after_validity(
 
 
 def with_overall(df: DataFrame, aggregates: Mapping[str, Column]) -> DataFrame:
-    """Each row next to whole-table aggregates, as scalar subqueries instead of a cross join."""
+    """Each row next to whole-table aggregates, as scalar subqueries instead of a cross join.
+
+    ``df`` is read once more per aggregate; pin it first when it is costly to make.
+    """
     return df.select(
         "*", *[df.agg(a.alias(name)).scalar().alias(name) for name, a in aggregates.items()]
     )

@@ -15,15 +15,20 @@ def stacked(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def orphan_fk_report(fact: DataFrame, parents: Mapping[str, DataFrame]) -> DataFrame:
-    """Lines whose foreign key has no parent, per key. NULL keys count as orphans."""
+def orphan_fk_report(keys: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """Lines whose foreign key has no parent, per ``key: (lines, parents)``. NULL is an orphan.
+
+    Lines are counted per key before the anti join, so the join sees each key
+    once, however many lines share it.
+    """
     parts = []
-    for key, parent in parents.items():
-        lost = fact.select(key).join(parent.select(key), key, "left_anti")
+    for key, (lines, parents) in keys.items():
+        counted = lines.groupBy(key).agg(F.count("*").alias("_lines"))
+        lost = counted.join(parents.select(key), key, "left_anti")
         parts.append(lost.agg(
             F.lit(key).alias("foreign_key"),
-            F.count("*").alias("orphan_lines"),
-            F.count_distinct(key).alias("orphan_ids"),
+            F.coalesce(F.sum("_lines"), F.lit(0)).alias("orphan_lines"),
+            F.count(key).alias("orphan_ids"),
             F.min(key).alias("sample_id"),
         ))
     return stacked(parts)

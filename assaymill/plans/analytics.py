@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from assaymill.functions import dates
 from assaymill.functions.numbers import exact_avg, money_sum, percentage
-from assaymill.operators.joins import anti_join, semi_join
 
 
 def running_money(column: str, w: WindowSpec) -> Column:
@@ -178,11 +177,16 @@ def ship_lead_time(fact: DataFrame) -> DataFrame:
         F.count_if(days < 0).alias("shipped_before_order"))
 
 
-def exclusive_channel_customers(customers: DataFrame, fact: DataFrame, channel: str) -> DataFrame:
-    """Customers who bought, but never outside ``channel``."""
-    people = customers.select("customer_id", "full_name")
-    other = fact.where(F.col("channel") != channel)
-    return anti_join(semi_join(people, fact, "customer_id"), other, "customer_id")
+def exclusive_channel_customers(customers: DataFrame, fact: DataFrame) -> DataFrame:
+    """Customers who bought through one channel only, with that channel.
+
+    "Bought here" and "never bought elsewhere" come from one aggregate instead of
+    a semi and an anti join per channel.
+    """
+    used = fact.groupBy("customer_id").agg(
+        F.min("channel").alias("only_channel"), F.max("channel").alias("_other"))
+    single = used.where("only_channel = _other").drop("_other")
+    return customers.select("customer_id", "full_name").join(single, "customer_id")
 
 
 def after_termination_share(fact: DataFrame, employees: DataFrame) -> DataFrame:

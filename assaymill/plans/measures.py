@@ -1,15 +1,15 @@
 """Named measures over the fact, evaluated for any group-by set and filter.
 
 A measure is an expression over a few base aggregates. Only the base aggregates
-that the requested measures need are computed, in one pass over the fact, and
-distinct counts run as grouped counts so that no row is expanded.
+that the requested measures need are computed, all in one pass over the fact.
+Distinct counts shuffle on (group, id), so a heavy group spreads over its ids.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaymill.functions.numbers import money_sum, safe_ratio
@@ -59,42 +59,23 @@ def measures(
     rows = df if where is None else df.where(where)
     needed = list(dict.fromkeys(base for n in names for base in defined[n][0]))
     sums = {k: v for k, v in _sums().items() if k in needed}
-    out = None
-    if sums:
-        out = rows.groupBy(*by).agg(*[v.alias(k) for k, v in sums.items()])
-    for base in needed:
-        if base not in _DISTINCT:
-            continue
-        column = _DISTINCT[base]
-        counted = rows.select(*by, column).distinct().groupBy(*by).agg(F.count(column).alias(base))
-        out = counted if out is None else _beside(out, counted, by)
+    sums |= {k: F.count_distinct(c) for k, c in _DISTINCT.items() if k in needed}
+    out = rows.groupBy(*by).agg(*[v.alias(k) for k, v in sums.items()])
     return out.select(*by, *[defined[n][1].alias(n) for n in names])
 
 
-def _beside(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Two aggregates over the same groups, NULL groups included."""
-    keyed = right.withColumnsRenamed({b: f"_k_{b}" for b in by})
-    same = F.lit(True)
-    for b in by:
-        same = same & F.col(b).eqNullSafe(F.col(f"_k_{b}"))
-    return left.join(keyed, same).drop(*[f"_k_{b}" for b in by])
-
-
 def prior_year(
     df: DataFrame, by: Sequence[str] = ("year", "month"), value: str = "total_net_revenue"
 ) -> DataFrame:
     """Net revenue next to the same period one year earlier; ``by`` contains ``year``.
 
-    Periods are already aggregated, so this joins a few rows per group, not the fact.
+    A window over the aggregated periods: one row per year and group, read once.
     """
     current = measures(df, [value], by)
-    earlier = current.select(
-        *[(F.col(b) + 1 if b == "year" else F.col(b)).alias(f"_k_{b}") for b in by],
-        F.col(value).alias("net_revenue_py"))
-    same = F.col("year") == F.col("_k_year")  # rows without a date have no earlier period
-    for b in by:
-        if b != "year":
-            same = same & F.col(b).eqNullSafe(F.col(f"_k_{b}"))
-    joined = current.join(earlier, same, "left").select(*by, value, "net_revenue_py")
-    growth = safe_ratio(F.col(value) - F.col("net_revenue_py"), F.col("net_revenue_py"), 0.0)
-    return joined.withColumn("net_revenue_yoy_pct", growth)
+    others = [b for b in by if b != "year"]
+    last_year = Window.partitionBy(*others).orderBy("year").rangeBetween(-1, -1)
+    # Rows without a year are peers of themselves, not of an earlier year.
+    earlier = F.when(F.col("year").isNotNull(), F.max(value).over(last_year))
+    before = F.col("net_revenue_py")
+    growth = safe_ratio(F.col(value) - before, before, 0.0)
+    return current.withColumn("net_revenue_py", earlier).withColumn("net_revenue_yoy_pct", growth)

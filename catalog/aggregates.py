@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from assaymill.functions import text
 from assaymill.functions.numbers import exact_avg, exact_sum, fix_discount_pct, money_sum, percentage
 from assaymill.operators import groups, joins, keys
+from assaymill.runtime import pinned
 from catalog.model_sql import esum, isum, rnd, sql
 from catalog.registry import query
 
@@ -30,8 +31,7 @@ def global_aggregate(t):
 def count_distinct(t):
     """One distinct pass per question: nothing is expanded and no single task sees all values."""
     return joins.scalar_row(t.spark, {
-        "customers": t.headers.select("order_id", "customer_id").join(
-            t.lines.select("order_id"), "order_id", "left_semi").agg(F.count_distinct("customer_id")),
+        "customers": t.fact.agg(F.count_distinct("customer_id")),
         "products": t.lines.agg(F.count_distinct("product_id")),
         "line_keys": t.lines.agg(F.count_distinct("order_id", "order_line_id")),
     })
@@ -125,8 +125,8 @@ TOTALS = f"""(SELECT employee_id, {esum('quantity * unit_price')} AS rough_total
     SELECT employee_id, rough_total FROM {TOTALS}
     WHERE rough_total > (SELECT {esum('rough_total')} / COUNT(rough_total) FROM {TOTALS})"""))
 def group_max_filter(t):
-    totals = t.lines.where("employee_id IS NOT NULL").groupBy("employee_id").agg(
-        money_sum(F.col("quantity") * F.col("unit_price")).alias("rough_total"))
+    totals = pinned(t.lines.where("employee_id IS NOT NULL").groupBy("employee_id").agg(
+        money_sum(F.col("quantity") * F.col("unit_price")).alias("rough_total")))
     mean = totals.agg(exact_avg(F.col("rough_total"))).scalar()
     return totals.where(F.col("rough_total") > mean)
 

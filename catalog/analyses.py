@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from assaymill.functions import dates
-from assaymill.operators import quality
 from assaymill.plans import analytics, gold
 from catalog.model_sql import esum, rnd, sql
 from catalog.registry import query
@@ -105,10 +104,7 @@ def ship_lead_time(t):
 def exclusive_channel_customers(t):
     """Customers whose deepest-discount purchases all went through one channel."""
     deals = t.fact.where("discount_pct >= 0.3D").select("customer_id", "channel")
-    return quality.stacked([
-        analytics.exclusive_channel_customers(t.customers, deals, channel).withColumn(
-            "only_channel", F.lit(channel))
-        for channel in ("Online", "In-Store")])
+    return analytics.exclusive_channel_customers(t.customers, deals)
 
 
 @query("weekend_signups", sql("""

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from assaymill.functions.numbers import money_sum
-from assaymill.operators import joins, quality
+from assaymill.operators import quality
 from assaymill.plans import bi, gold, silver
-from assaymill.runtime import bounded
 from catalog.model_sql import datekey, esum, isum, rnd, sql
 from catalog.registry import query
 from catalog.sets import NEWEST, TIE
@@ -101,17 +100,12 @@ def _slice_sql(label: str, column: str, joined: str) -> str:
     _slice_sql("subcategory", "subcategory", "JOIN prod USING (product_id)"),
 ])))
 def sales_by_dimension(t):
-    """Net sales per year by five attributes; each slice reads only the columns it needs."""
-    years = (bounded(t.calendar), "datekey")
-    slices = {
-        "channel": [], "payment_method": [], "region": [(t.employees, "employee_id")],
-        "brand": [(t.products, "product_id")], "subcategory": [(t.products, "product_id")],
-    }
-    return quality.stacked([
-        gold.rollup(t.fact, [years, *dims], [attribute, "year"]).select(
-            F.lit(attribute).alias("dimension"), F.col(attribute).alias("member"), "year",
-            "order_line_count", "total_quantity", "total_net_amount")
-        for attribute, dims in slices.items()])
+    return gold.sales_by_attributes(
+        t.fact, t.calendar,
+        [(t.employees.select("employee_id", "region"), "employee_id"),
+         (t.products.select("product_id", "brand", "subcategory"), "product_id")],
+        {"channel": None, "payment_method": None, "region": "employee_id", "brand": "product_id",
+         "subcategory": "product_id"})
 
 
 @query("rollup_reconciliation", sql("""
@@ -121,11 +115,11 @@ def sales_by_dimension(t):
             OR NOT EXISTS (SELECT 1 FROM prod p WHERE p.product_id = f.product_id)) AS excluded_rows"""))
 def rollup_reconciliation(t):
     fact = silver.flag_orphans(t.fact, "product_id", t.products, "is_product_orphan")
-    excluded = fact.where("datekey IS NULL OR is_product_orphan = 1")
-    return joins.scalar_row(t.spark, {
-        "fact_rows": t.fact.agg(F.count("*")),
-        "rolled_up_rows": t.monthly.agg(F.sum("order_line_count")),
-        "excluded_rows": excluded.agg(F.count("*"))})
+    excluded = F.col("datekey").isNull() | (F.col("is_product_orphan") == 1)
+    rolled_up = t.monthly.agg(F.sum("order_line_count")).scalar()
+    return fact.agg(
+        F.count("*").alias("fact_rows"), F.count_if(excluded).alias("excluded_rows")
+    ).withColumn("rolled_up_rows", rolled_up)
 
 
 @query("snowflake_normalize", sql(f"""

@@ -8,7 +8,7 @@ from assaymill.functions import dates, text
 from assaymill.functions.numbers import fix_discount_pct, money_sum
 from assaymill.operators import joins
 from assaymill.plans import gold, silver
-from assaymill.runtime import bounded
+from assaymill.runtime import bounded, pinned
 from catalog.model_sql import FIXED, datekey, esum, sql
 from catalog.registry import query
 
@@ -134,7 +134,7 @@ def post_validity_detector(t):
     WHERE lifetime_net_amount > 2 * avg_ltv"""))
 def scalar_cross_join(t):
     amount = F.col("lifetime_net_amount")
-    people = t.ltv.select("customer_id", "full_name", "lifetime_net_amount")
+    people = pinned(t.ltv.select("customer_id", "full_name", "lifetime_net_amount"))
     beside = joins.with_overall(people, {"avg_ltv": money_sum(amount) / F.count("*")})
     return beside.where(amount > 2 * F.col("avg_ltv"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from assaymill.functions import text
 from assaymill.functions.numbers import money_sum
-from assaymill.operators import quality
+from assaymill.operators import keys, quality
 from assaymill.plans import gold, silver
 from catalog.model_sql import esum, isum, q, rnd, sql
 from catalog.registry import query
@@ -20,8 +20,9 @@ def _orphans(key: str, parent: str) -> str:
 @query("orphan_fk_report", sql(" UNION ALL ".join([
     _orphans("customer_id", "cust"), _orphans("product_id", "prod"), _orphans("employee_id", "emp")])))
 def orphan_fk_report(t):
-    return quality.orphan_fk_report(t.fact, {
-        "customer_id": t.customers, "product_id": t.products, "employee_id": t.employees})
+    return quality.orphan_fk_report({
+        "customer_id": (t.fact, t.customers), "product_id": (t.lines, t.products),
+        "employee_id": (t.lines, t.employees)})
 
 
 @query("fact_null_orphan_counters", sql(f"""
@@ -136,52 +137,49 @@ INFO = [
 def build_validation(t):
     """Hard checks with expectation and verdict, then informational counters.
 
-    The counters of one table share one pass over it.
+    All counters of one table, its row count included, share one pass over it.
     """
-    fact = t.flagged_fact
-    sales, products, customers = t.bronze_sales, t.bronze_products, t.bronze_customers
-    span = t.calendar.agg((F.datediff(F.max("date"), F.min("date")) + 1).cast("long"))
-    repeated = t.lines.groupBy("order_id", "order_line_id").count().where("count > 1")
-    lines_given = t.raw("lineitem").agg(F.count("*"))
-    hard = {
-        "bronze_customers rows": (t.customer_feed.agg(F.count("*")), customers),
-        "bronze_products rows": (t.raw("part").agg(F.count("*")), products),
-        "bronze_employees rows": (t.raw("supplier").agg(F.count("*")), t.bronze_employees),
-        "bronze_sales rows": (lines_given, sales),
-        "dim_date rows": (span, t.calendar),
-        "fact_sales rows": (lines_given, fact),
-        "repeated line keys": (t.spark.range(1).select(F.lit(0).cast("long")), repeated),
-    }
-    parts = [
-        quality.row_count(df, name).withColumn("expected", expected.scalar())
-        for name, (expected, df) in hard.items()
+    customers, sales = t.bronze_customers, t.bronze_sales
+    products = silver.flag_duplicates(
+        t.bronze_products.withColumn("sku", F.trim("sku")), "sku", "shared")
+    dated = silver.silver_sales(sales, customers, t.bronze_products)
+    total, quantity, every = F.col("order_total"), F.col("quantity"), F.lit(True)
+    passes = [
+        (customers, {
+            "bronze_customers rows": every, "customer email missing": F.col("email").isNull(),
+            "customer email blank": F.col("email") == ""}),
+        (products, {
+            "bronze_products rows": every, "product sku shared": F.col("shared") == 1,
+            "product cost negative": F.col("unit_cost") < 0}),
+        (t.bronze_employees, {"bronze_employees rows": every}),
+        (sales, {
+            "bronze_sales rows": every, "employee missing": F.col("employee_id").isNull(),
+            "order date missing": F.col("order_date").isNull(),
+            "order total missing": total.isNull(), "order total TBD": total == "TBD",
+            "order total N/A": total == "N/A", "quantity negative": quantity < 0,
+            "quantity zero": quantity == 0, "quantity missing": quantity.isNull(),
+            "discount above 1": F.col("discount_pct") > 1}),
+        (dated, {
+            "fact_sales rows": every, "customer orphan lines": F.col("is_customer_orphan") == 1,
+            "product orphan lines": F.col("is_product_orphan") == 1,
+            "shipped before order": F.col("ship_date") < F.col("order_date")}),
+        (t.calendar, {"dim_date rows": every}),
+        (keys.grain_check(t.lines, ["order_id", "order_line_id"]), {"repeated line keys": every}),
     ]
-    sku = silver.flag_duplicates(products.select(F.trim("sku").alias("sku"), "unit_cost"), "sku", "shared")
-    typed = silver.silver_sales(sales, customers, products)
-    total, quantity = F.col("order_total"), F.col("quantity")
-    info = {
-        "customer email missing": (customers, F.col("email").isNull()),
-        "customer email blank": (customers, F.col("email") == ""),
-        "product sku shared": (sku, F.col("shared") == 1),
-        "product cost negative": (sku, F.col("unit_cost") < 0),
-        "customer orphan lines": (fact, F.col("is_customer_orphan") == 1),
-        "product orphan lines": (fact, F.col("is_product_orphan") == 1),
-        "employee missing": (sales, F.col("employee_id").isNull()),
-        "order date missing": (sales, F.col("order_date").isNull()),
-        "order total missing": (sales, total.isNull()),
-        "order total TBD": (sales, total == "TBD"),
-        "order total N/A": (sales, total == "N/A"),
-        "quantity negative": (sales, quantity < 0),
-        "quantity zero": (sales, quantity == 0),
-        "quantity missing": (sales, quantity.isNull()),
-        "shipped before order": (typed, F.col("ship_date") < F.col("order_date")),
-        "discount above 1": (sales, F.col("discount_pct") > 1),
-    }
-    for table in (customers, sku, fact, sales, typed):
-        mine = {n: c for n, (df, c) in info.items() if df is table}
-        counted = quality.unpivot_counters(quality.counters(table, mine))
-        parts.append(counted.withColumn("expected", F.lit(None).cast("long")))
-    return quality.stacked(parts).withColumn(
+    given = F.col("check_name")
+    lines_given = t.raw("lineitem").agg(F.count("*")).scalar()
+    span = t.calendar.agg((F.datediff(F.max("date"), F.min("date")) + 1).cast("long")).scalar()
+    expected = (
+        F.when(given == "bronze_customers rows", t.customer_feed.agg(F.count("*")).scalar())
+        .when(given == "bronze_products rows", t.raw("part").agg(F.count("*")).scalar())
+        .when(given == "bronze_employees rows", t.raw("supplier").agg(F.count("*")).scalar())
+        .when(given.isin("bronze_sales rows", "fact_sales rows"), lines_given)
+        .when(given == "dim_date rows", span)
+        .when(given == "repeated line keys", F.lit(0).cast("long"))
+    )
+    counted = quality.stacked(
+        [quality.unpivot_counters(quality.counters(df, rules)) for df, rules in passes])
+    return counted.withColumn("expected", expected).withColumn(
         "ok", (F.col("expected") == F.col("actual")).cast("int"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from assaymill.functions import text
@@ -92,9 +93,10 @@ def correlated_group_average(t):
     SELECT year, category, year_revenue FROM category_year c
     WHERE year_revenue = (SELECT MAX(year_revenue) FROM category_year c2 WHERE c2.year = c.year)"""))
 def correlated_max_equals(t):
-    beside = groups.with_group_value(
-        analytics.category_years(t.monthly), ["year"], F.max("year_revenue"), "best", canonical=True)
-    return beside.where("year_revenue = best").select("year", "category", "year_revenue")
+    """A window over one row per year and category, so the rollup is computed once."""
+    best = F.max("year_revenue").over(Window.partitionBy("year"))
+    return analytics.category_years(t.monthly).withColumn("best", best).where(
+        "year_revenue = best").drop("best")
 
 
 @query("correlated_count_column", sql("""
