@@ -25,6 +25,11 @@ def money_sum(c: Column) -> Column:
     return exact_sum(c, 2)
 
 
+def nearest_cent(c: Column) -> Column:
+    """Cents of a computed price, halves upwards; plain arithmetic, for values >= 0."""
+    return F.floor(c * 100 + 0.5) / 100
+
+
 def fix_discount_pct(c: Column) -> Column:
     """Discounts above 1 were typed as whole percentages."""
     return F.when(c > 1, c / 100).otherwise(c)

@@ -60,9 +60,12 @@ FALSE_TEXTS = ("n", "no", "false", "0")
 
 
 def lookup(key: Column, table: Mapping[str, str]) -> Column:
-    """Value for ``key`` in a literal table, NULL when it is not listed."""
-    pairs = [F.lit(x) for entry in table.items() for x in entry]
-    return F.try_element_at(F.create_map(*pairs), key)
+    """Value for ``key`` in a literal table, NULL when it is not listed.
+
+    The table travels as one text and is folded to a constant map by the optimizer.
+    """
+    entries = F.lit(";".join(f"{k}={v}" for k, v in table.items()))
+    return F.try_element_at(F.str_to_map(entries, F.lit(";"), F.lit("=")), key)
 
 
 def normalized_key(c: Column) -> Column:

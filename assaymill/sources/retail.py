@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaymill.functions.text import STATE_CODES
-from assaymill.functions.numbers import net_amount
+from assaymill.functions.numbers import nearest_cent, net_amount
+from assaymill.functions.text import STATE_CODES, lookup
 from assaymill.sources import synth
 
 # How the given tables' codes are read in the retail model.
@@ -64,7 +64,7 @@ def header_feed(orders: DataFrame) -> DataFrame:
 def line_feed(lineitem: DataFrame) -> DataFrame:
     """One row per order line, without the header's columns."""
     o, n, p = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
-    points = F.round(F.col("l_discount") * 300).cast("int")
+    points = (F.col("l_discount") * 300 + 0.5).cast("int")
     units = F.col("l_quantity").cast("int")
     feed = lineitem.select(
         o.alias("order_id"),
@@ -76,7 +76,7 @@ def line_feed(lineitem: DataFrame) -> DataFrame:
         .when((o + p) % 60 == 2, 0)
         .when((o + p) % 60 != 0, units)
         .alias("quantity"),
-        F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2).alias("unit_price"),
+        nearest_cent(F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
         F.when((o + n) % 67 == 0, points.cast("double")).otherwise(points / 100).alias(
             "discount_pct"
         ),
@@ -147,13 +147,8 @@ def typed_customers(feed: DataFrame) -> DataFrame:
 
 def dirty_customers(feed: DataFrame) -> DataFrame:
     k, copy = F.col("source_key"), F.col("is_copy") == 1
-    names = {code: name.title() for name, code in STATE_CODES.items()}
-    full = F.try_element_at(
-        F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), F.col("state")
-    )
-    dotted = F.try_element_at(
-        F.create_map(*[F.lit(x) for kv in synth.DOTTED_STATES.items() for x in kv]), full
-    )
+    full = lookup(F.col("state"), {code: name.title() for name, code in STATE_CODES.items()})
+    dotted = lookup(full, synth.DOTTED_STATES)
     state = (
         F.when(k % 4 == 0, F.col("state")).when(k % 4 == 1, F.lower("state"))
         .when(k % 4 == 2, full).otherwise(F.lower(F.coalesce(dotted, full)))
@@ -187,7 +182,7 @@ def dirty_customers(feed: DataFrame) -> DataFrame:
 def product_feed(part: DataFrame) -> DataFrame:
     k = F.col("p_partkey")
     price = F.col("p_retailprice")
-    cost = F.round(price * 0.6, 2)
+    cost = nearest_cent(price * 0.6)
     return part.select(
         k.alias("product_id"),
         F.col("p_name").alias("product_name"),

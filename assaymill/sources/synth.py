@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from assaymill.functions.text import lookup
+
 # Texts that stand for true and false, and the dotted state names.
 TRUE_TEXTS = ["Y", "y", "true", "1", "yes"]
 FALSE_TEXTS = ["N", "n", "false", "0", "no"]
@@ -31,7 +33,8 @@ ORPHAN_ID_OFFSET = 2 * 10**12
 
 def pick(options: Sequence[str], key: Column) -> Column:
     """Option number ``key`` modulo the number of options."""
-    return F.element_at(F.array(*[F.lit(o) for o in options]), (key % len(options)).cast("int") + 1)
+    values = F.split(F.lit("|".join(options)), r"\|")
+    return F.element_at(values, (key % len(options)).cast("int") + 1)
 
 
 def null_when(c: Column, condition: Column) -> Column:
@@ -92,8 +95,7 @@ def mixed_phone(area: Column, prefix: Column, line: Column, key: Column) -> Colu
 
 
 def mixed_category(c: Column, key: Column) -> Column:
-    variants = F.create_map(*[F.lit(x) for kv in CATEGORY_VARIANTS.items() for x in kv])
-    spelled = F.when(key % 5 == 0, F.coalesce(F.try_element_at(variants, c), c)).otherwise(c)
+    spelled = F.when(key % 5 == 0, F.coalesce(lookup(c, CATEGORY_VARIANTS), c)).otherwise(c)
     return mixed_case(spelled, key)
 
 

@@ -110,9 +110,9 @@ CTES: dict[str, str] = {
                CASE WHEN l_orderkey % 7 <> 3 THEN CAST(l_shipdate AS DATE) END AS ship_date,
                CASE (l_orderkey + l_partkey) % 60 WHEN 0 THEN NULL WHEN 1 THEN -CAST(l_quantity AS INTEGER)
                     WHEN 2 THEN 0 ELSE CAST(l_quantity AS INTEGER) END AS quantity,
-               {rnd('l_extendedprice / l_quantity')} AS unit_price,
-               CASE WHEN (l_orderkey + l_linenumber) % 67 = 0 THEN CAST(CAST(ROUND(l_discount * 300) AS INTEGER) AS DOUBLE)
-                    ELSE CAST(ROUND(l_discount * 300) AS INTEGER) / 100 END AS discount_pct,
+               floor(l_extendedprice / l_quantity * 100 + 0.5::DOUBLE) / 100 AS unit_price,
+               CASE WHEN (l_orderkey + l_linenumber) % 67 = 0 THEN CAST(CAST(floor(l_discount * 300 + 0.5::DOUBLE) AS INTEGER) AS DOUBLE)
+                    ELSE CAST(floor(l_discount * 300 + 0.5::DOUBLE) AS INTEGER) / 100 END AS discount_pct,
                {decode('l_linestatus', retail.CHANNEL_BY_CODE)} AS channel
         FROM lineitem""",
     "lines": f"""
@@ -156,8 +156,8 @@ CTES: dict[str, str] = {
         SELECT p_partkey AS product_id, p_name AS product_name,
                CASE WHEN p_partkey % 101 <> 50 THEN {decode('p_type', retail.CATEGORY_BY_TYPE)} END AS category,
                string_split(p_name, ' ')[-1] AS subcategory, p_brand AS brand,
-               CASE WHEN p_partkey % 200 = 11 THEN -{rnd('p_retailprice * 0.6')}
-                    WHEN p_partkey % 90 <> 17 THEN {rnd('p_retailprice * 0.6')} END AS unit_cost,
+               CASE WHEN p_partkey % 200 = 11 THEN -floor(p_retailprice * 0.6::DOUBLE * 100 + 0.5::DOUBLE) / 100
+                    WHEN p_partkey % 90 <> 17 THEN floor(p_retailprice * 0.6::DOUBLE * 100 + 0.5::DOUBLE) / 100 END AS unit_cost,
                p_retailprice AS unit_price,
                CASE WHEN p_partkey % 11 < 5 THEN 1 WHEN p_partkey % 11 < 10 THEN 0 END AS is_discontinued,
                'SKU-' || CASE WHEN p_partkey % 50 = 0 THEN p_partkey + 1 ELSE p_partkey END AS sku,
