@@ -107,8 +107,3 @@ def ranks(
         same = same & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
     wanted = [F.col(s).alias(n) for s, n in (("_rank", rank), ("_level", dense_rank)) if n]
     return df.join(keyed, same).select(*df.columns, *wanted)
-
-
-def by_month_window(*group: str) -> Window:
-    """Window along (year, month) for already aggregated rows; bounded by the calendar."""
-    return Window.partitionBy(*group).orderBy("year", "month")

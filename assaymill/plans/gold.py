@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaymill.functions import dates
@@ -43,23 +43,40 @@ def fact_sales(sales: DataFrame) -> DataFrame:
     return keyed.select(*[c for c in FACT_COLUMNS if c in keyed.columns])
 
 
+def _line_totals() -> list[Column]:
+    """Lines, units and net sales of a group, money in whole cents."""
+    return [
+        F.count("*").alias("lines"),
+        F.sum("quantity").alias("units"),
+        F.sum(F.rint(F.col("net_amount") * 100).cast("long")).alias("cents"),
+    ]
+
+
+def _by_period(daily: DataFrame, calendar: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Day totals to calendar periods; days outside the calendar and NULL dates drop out."""
+    parts = [c for c in by if c in calendar.columns]
+    return daily.join(bounded(calendar.select("datekey", *parts)), "datekey").groupBy(*by).agg(
+        F.sum("lines").alias("order_line_count"),
+        F.sum("units").alias("total_quantity"),
+        (F.sum("cents") / 100).alias("total_net_amount"),
+    )
+
+
 def rollup(
-    fact: DataFrame, dims: Sequence[tuple[DataFrame, str]], by: Sequence[str]
+    fact: DataFrame, calendar: DataFrame, dims: Sequence[tuple[DataFrame, str]], by: Sequence[str]
 ) -> DataFrame:
-    """Lines, units and net sales by dimension attributes; unmatched keys drop out.
+    """Lines, units and net sales by calendar parts and dimension attributes.
 
-    Each dimension is ``(frame, key)``. Only the key and the attributes in ``by``
-    are read from it. Groups combine on the map side before the one shuffle.
+    Each dimension is ``(frame, key)``; unmatched keys drop out, and only the key
+    and the attributes in ``by`` are read from it. Lines first combine to days, in
+    each task before the shuffle, so only day totals meet the calendar.
     """
     joined = fact
     for dim, key in dims:
-        wanted = [c for c in by if c in dim.columns and c not in joined.columns]
-        joined = joined.join(dim.select(key, *wanted), key)
-    return joined.groupBy(*by).agg(
-        F.count("*").alias("order_line_count"),
-        F.sum("quantity").alias("total_quantity"),
-        money_sum(F.col("net_amount")).alias("total_net_amount"),
-    )
+        joined = joined.join(dim.select(key, *[c for c in by if c in dim.columns]), key)
+    attributes = [c for c in by if c not in calendar.columns]
+    daily = joined.groupBy("datekey", *attributes).agg(*_line_totals())
+    return _by_period(daily, calendar, by)
 
 
 def sales_by_attributes(
@@ -75,7 +92,7 @@ def sales_by_attributes(
     row exists. Lines fan out to one row per attribute inside the task and
     combine there before the shuffle.
     """
-    joined = fact.join(bounded(calendar.select("datekey", "year")), "datekey")
+    joined = fact
     for dim, key in dims:
         joined = joined.join(dim.withColumn(f"_has_{key}", F.lit(True)), key, "left")
     members = [
@@ -84,26 +101,22 @@ def sales_by_attributes(
         for name, key in attributes.items()
     ]
     fanned = joined.select(
-        "year", "quantity", "net_amount", F.inline(F.array_compact(F.array(*members))))
-    return fanned.groupBy("dimension", "member", "year").agg(
-        F.count("*").alias("order_line_count"),
-        F.sum("quantity").alias("total_quantity"),
-        money_sum(F.col("net_amount")).alias("total_net_amount"),
-    )
+        "datekey", "quantity", "net_amount", F.inline(F.array_compact(F.array(*members))))
+    daily = fanned.groupBy("datekey", "dimension", "member").agg(*_line_totals())
+    return _by_period(daily, calendar, ["dimension", "member", "year"])
 
 
 def agg_monthly_sales_by_category(
     fact: DataFrame, calendar: DataFrame, products: DataFrame
 ) -> DataFrame:
     by = ["year", "month", "month_name", "category"]
-    return rollup(fact, [(bounded(calendar), "datekey"), (products, "product_id")], by)
+    return rollup(fact, calendar, [(products, "product_id")], by)
 
 
 def agg_quarterly_by_category(
     fact: DataFrame, calendar: DataFrame, products: DataFrame
 ) -> DataFrame:
-    by = ["year", "quarter", "category"]
-    return rollup(fact, [(bounded(calendar), "datekey"), (products, "product_id")], by)
+    return rollup(fact, calendar, [(products, "product_id")], ["year", "quarter", "category"])
 
 
 def customer_totals(fact: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
+from assaymill.functions.numbers import nearest_cent
 from assaymill.operators import changes
 from catalog.model_sql import DUP, sql
 from catalog.registry import query
@@ -15,20 +16,19 @@ AS_OF = dt.date(2000, 7, 1)
 
 
 def _changed_products(t):
-    """Tomorrow's price list: a third of the prices rise, some products are new."""
-    k = F.col("product_id")
-    price = F.round(F.col("unit_price") * F.when(k % 3 == 0, 1.1).otherwise(1.0), 2)
-    listed = t.products.select("product_id", "product_name", "brand", price.alias("unit_price"))
-    return listed.withColumn(
-        "product_id", F.when(k % 10 == 9, k + DUP).otherwise(k)).where(F.col("product_id") % 7 != 1)
+    """Tomorrow's price list: Footwear costs more, one brand is listed under new ids,
+    another is no longer listed."""
+    price = F.col("unit_price") * F.when(F.col("category") == "Footwear", 1.1).otherwise(1.0)
+    moved = F.when(F.col("brand") == "Brand#7", F.col("product_id") + DUP)
+    return t.products.where("brand <> 'Brand#13'").select(
+        moved.otherwise(F.col("product_id")).alias("product_id"), "product_name", "brand",
+        nearest_cent(price).alias("unit_price"))
 
 
-CHANGED = """
-    SELECT * FROM (
-        SELECT CASE WHEN p_partkey % 10 = 9 THEN p_partkey + {dup} ELSE p_partkey END AS product_id,
-               p_name AS product_name, p_brand AS brand,
-               ROUND(CAST(CAST(p_retailprice * CASE WHEN p_partkey % 3 = 0 THEN 1.1::DOUBLE ELSE 1.0::DOUBLE END AS VARCHAR) AS DECIMAL(38,14)), 2)::DOUBLE AS unit_price
-        FROM part) WHERE product_id % 7 <> 1""".format(dup=DUP)
+CHANGED = f"""
+    SELECT CASE WHEN brand = 'Brand#7' THEN product_id + {DUP} ELSE product_id END AS product_id, product_name, brand,
+           floor(unit_price * CASE WHEN category = 'Footwear' THEN 1.1::DOUBLE ELSE 1.0::DOUBLE END * 100 + 0.5::DOUBLE) / 100 AS unit_price
+    FROM prod WHERE brand <> 'Brand#13'"""
 
 
 @query("scd1_upsert", sql("""
@@ -52,7 +52,7 @@ def scd2_window_view(t):
 
 HISTORY = """
     SELECT product_id, brand, unit_price, created_at AS valid_from, DATE '9999-12-31' AS valid_to, 1 AS is_current FROM prod
-    UNION ALL SELECT product_id, 'Unbranded', unit_price, created_at - 400, created_at - 1, 0 FROM prod WHERE product_id % 5 = 0"""
+    UNION ALL SELECT product_id, 'Unbranded', unit_price, created_at - 400, created_at - 1, 0 FROM prod WHERE category = 'Climbing'"""
 
 
 @query("scd2_merge", sql("""
@@ -71,7 +71,7 @@ def scd2_merge(t):
     versions = t.products.select(
         "product_id", "brand", "unit_price", made.alias("valid_from"), open_end.alias("valid_to"),
         F.lit(1).alias("is_current"))
-    earlier = t.products.where("product_id % 5 = 0").select(
+    earlier = t.products.where("category = 'Climbing'").select(
         "product_id", F.lit("Unbranded").alias("brand"), "unit_price",
         F.date_sub(made, 400).alias("valid_from"), F.date_sub(made, 1).alias("valid_to"),
         F.lit(0).alias("is_current"))

@@ -5,16 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from assaymill.functions.numbers import money_sum, percentage
 from assaymill.functions.text import normalized_key
-from assaymill.operators import groups, joins, keys, ordered
+from assaymill.operators import groups, joins, keys, ordered, windows
 from assaymill.plans import analytics, silver
-from catalog.model_sql import esum, rnd, sql
+from catalog.model_sql import rnd, sql
 from catalog.registry import query
 
-LTV = "SELECT customer_id, customer_segment, order_count FROM ltv"
-
-
 def _ltv(t):
     return t.ltv.select("customer_id", "customer_segment", "order_count")
 
@@ -50,10 +46,8 @@ def dense_rank(t):
            SUM(CAST(ROUND(total_net_amount * 100) AS BIGINT)) OVER (ORDER BY order_date)::DOUBLE / 100 AS running_total
     FROM daily"""))
 def running_total(t):
-    """Over days, whose number is bounded by the calendar."""
-    w = Window.orderBy("order_date").rowsBetween(Window.unboundedPreceding, 0)
-    return t.daily.select("order_date", "total_net_amount", analytics.running_money(
-        "total_net_amount", w).alias("running_total"))
+    return windows.running_total(
+        t.daily.select("order_date", "total_net_amount"), "total_net_amount", ["order_date"])
 
 
 @query("running_total_partitioned", sql("""
@@ -61,9 +55,9 @@ def running_total(t):
            SUM(CAST(ROUND(total_net_amount * 100) AS BIGINT)) OVER (PARTITION BY category ORDER BY year, month)::DOUBLE / 100 AS running_total
     FROM monthly"""))
 def running_total_partitioned(t):
-    w = ordered.by_month_window("category").rowsBetween(Window.unboundedPreceding, 0)
-    return t.monthly.select("category", "year", "month", "total_net_amount", analytics.running_money(
-        "total_net_amount", w).alias("running_total"))
+    sales = t.monthly.select("category", "year", "month", "total_net_amount")
+    return windows.running_total(
+        sales, "total_net_amount", ["year", "month"], ["category"], frame="range")
 
 
 @query("moving_average", sql(f"""
@@ -72,19 +66,18 @@ def running_total_partitioned(t):
     FROM (SELECT *, CAST(ROUND(total_net_amount * 100) AS BIGINT) AS c FROM daily)
     WINDOW w3 AS (ORDER BY order_date ROWS 2 PRECEDING), w7 AS (ORDER BY order_date ROWS 6 PRECEDING)"""))
 def moving_average(t):
-    by_day = Window.orderBy("order_date")
-    return t.daily.select("order_date", "total_net_amount", *[
-        F.round(analytics.running_money("total_net_amount", w) / F.count("total_net_amount").over(w), 2)
-        .alias(f"moving_avg_{n}d")
-        for n in (3, 7) for w in [by_day.rowsBetween(1 - n, 0)]])
+    days = t.daily.select("order_date", "total_net_amount")
+    for n in (3, 7):
+        days = windows.moving_average(
+            days, "total_net_amount", ["order_date"], n, name=f"moving_avg_{n}d")
+    return days
 
 
 @query("running_max", sql("""
     SELECT order_date, total_net_amount, MAX(total_net_amount) OVER (ORDER BY order_date) AS running_max FROM daily"""))
 def running_max(t):
-    w = Window.orderBy("order_date").rowsBetween(Window.unboundedPreceding, 0)
-    return t.daily.select("order_date", "total_net_amount",
-                          F.max("total_net_amount").over(w).alias("running_max"))
+    return windows.running_max(
+        t.daily.select("order_date", "total_net_amount"), "total_net_amount", ["order_date"])
 
 
 @query("first_crossing", sql("""
@@ -92,10 +85,9 @@ def running_max(t):
         SELECT order_date, SUM(CAST(ROUND(total_net_amount * 100) AS BIGINT)) OVER (ORDER BY order_date)::DOUBLE / 100 AS running_total
         FROM daily) WHERE running_total > 10000000 ORDER BY order_date LIMIT 1"""))
 def first_crossing(t):
-    w = Window.orderBy("order_date").rowsBetween(Window.unboundedPreceding, 0)
-    running = t.daily.select("order_date", analytics.running_money(
-        "total_net_amount", w).alias("running_total"))
-    return running.where("running_total > 10000000").orderBy("order_date").limit(1)
+    days = t.daily.select("order_date", "total_net_amount")
+    return windows.first_crossing(days, "total_net_amount", ["order_date"], 10_000_000).drop(
+        "total_net_amount")
 
 
 @query("partition_total_share", sql(f"""
@@ -112,16 +104,16 @@ def partition_total_share(t):
            {rnd("100.0::DOUBLE * (total_net_amount - prior) / NULLIF(prior, 0)", 1)} AS pct_change
     FROM (SELECT *, LAG(total_net_amount) OVER (PARTITION BY category ORDER BY year, month) AS prior FROM monthly)"""))
 def lag_change(t):
-    return analytics.period_change(
+    return windows.period_change(
         t.monthly.select("category", "year", "month", "total_net_amount"), "total_net_amount",
-        ordered.by_month_window("category"))
+        ["year", "month"], ["category"])
 
 
 @query("lead_next", sql("""
     SELECT year, month, month_total, LEAD(month_total) OVER (ORDER BY year, month) AS next_month_total FROM month_net"""))
 def lead_next(t):
-    return analytics.month_totals(t.monthly).withColumn(
-        "next_month_total", F.lead("month_total").over(ordered.by_month_window()))
+    return windows.next_value(analytics.month_totals(t.monthly), "month_total", ["year", "month"],
+                              name="next_month_total")
 
 
 @query("gap_between_events", sql("""
@@ -129,11 +121,7 @@ def lead_next(t):
         SELECT customer_id, order_date, LAG(order_date) OVER (PARTITION BY customer_id ORDER BY order_date) AS prev_date
         FROM (SELECT DISTINCT customer_id, order_date FROM headers WHERE order_date IS NOT NULL))"""))
 def gap_between_events(t):
-    """Distinct days first: a customer then has at most as many rows as the calendar has days."""
-    days = t.headers.where("order_date IS NOT NULL").select("customer_id", "order_date").distinct()
-    w = Window.partitionBy("customer_id").orderBy("order_date")
-    return days.withColumn("prev_date", F.lag("order_date").over(w)).withColumn(
-        "days_since_prev", F.datediff("order_date", "prev_date"))
+    return windows.gap_between_events(t.headers, "customer_id", "order_date")
 
 
 @query("largest_drops", sql(f"""
@@ -141,9 +129,8 @@ def gap_between_events(t):
         SELECT *, LAG(month_total) OVER (ORDER BY year, month) AS prior FROM month_net)
     WHERE prior IS NOT NULL ORDER BY month_total - prior, year, month LIMIT 3"""))
 def largest_drops(t):
-    changes = analytics.period_change(
-        analytics.month_totals(t.monthly), "month_total", ordered.by_month_window())
-    return changes.where("change IS NOT NULL").orderBy("change", "year", "month").limit(3).select(
+    months = analytics.month_totals(t.monthly)
+    return windows.largest_drops(months, "month_total", ["year", "month"], 3).select(
         "year", "month", "month_total", "change")
 
 
