@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaymill.functions.numbers import money_sum, percentage
-from assaymill.runtime import bounded
+from assaymill.runtime import bounded, settled
 
 
 def with_group_value(
@@ -21,8 +21,7 @@ def with_group_value(
     ``canonical`` says the groups are a fixed value list, so the result is tiny.
     """
     totals = df.groupBy(*[F.col(g).alias(f"_k_{g}") for g in group]).agg(value.alias(name))
-    if canonical:
-        totals = bounded(totals)
+    totals = bounded(totals) if canonical else settled(totals)
     same = F.lit(True)
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_k_{g}"))

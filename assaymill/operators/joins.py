@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaymill.runtime import bounded
+from assaymill.runtime import bounded, settled
 
 
 def star_join(
@@ -24,14 +24,24 @@ def star_join(
     return out
 
 
-def semi_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def _keys(right: DataFrame, key: str, many: bool) -> DataFrame:
+    """The keys to match against.
+
+    With ``many`` (a fact, whose keys repeat) each task reduces its rows to
+    distinct keys before the shuffle, so a heavy key is sent once per task.
+    """
+    values = right.select(key)
+    return values.distinct() if many else values
+
+
+def semi_join(left: DataFrame, right: DataFrame, key: str, many: bool = False) -> DataFrame:
     """Rows of ``left`` that have a match (EXISTS, IN)."""
-    return left.join(right.select(key), key, "left_semi")
+    return left.join(_keys(right, key, many), key, "left_semi")
 
 
-def anti_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def anti_join(left: DataFrame, right: DataFrame, key: str, many: bool = False) -> DataFrame:
     """Rows of ``left`` without a match (NOT EXISTS); NULL keys never match and stay."""
-    return left.join(right.select(key), key, "left_anti")
+    return left.join(_keys(right, key, many), key, "left_anti")
 
 
 def not_in(left: DataFrame, key: str, right: DataFrame) -> DataFrame:
@@ -42,9 +52,10 @@ def not_in(left: DataFrame, key: str, right: DataFrame) -> DataFrame:
     right side on every executor.
     """
     values = right.select(F.col(key).alias("_v"))
+    listed = values.distinct()
     state = F.when(F.count("*") == 0, "empty").when(F.count("*") > F.count("_v"), "has null")
     kind = values.agg(state.otherwise("plain")).scalar()
-    rest = left.join(values, F.col(key) == F.col("_v"), "left_anti")
+    rest = left.join(listed, F.col(key) == F.col("_v"), "left_anti")
     return rest.where(
         (kind == "empty") | ((kind == "plain") & F.col(key).isNotNull()))
 
@@ -94,7 +105,7 @@ def count_from(
 
 def match_status(left: DataFrame, right: DataFrame, key: str, aggregates: Sequence[Column]):
     """Totals of matched and orphan rows."""
-    known = right.select(key).where(F.col(key).isNotNull()).distinct()
+    known = settled(right.select(key).where(F.col(key).isNotNull()).distinct())
     known = known.withColumn("_known", F.lit(1))
     status = F.when(F.col("_known").isNull(), "orphan").otherwise("matched")
     joined = left.join(known, key, "left")
@@ -114,7 +125,7 @@ def duplicate_pairs(df: DataFrame, key: Column, id_column: str, columns: Sequenc
              F.count("*").alias("_n"))
         .where("_n > 1")
     )
-    pairs = keyed.join(first, "_key").where(F.col(id_column) > F.col(f"_first.{id_column}"))
+    pairs = keyed.join(settled(first), "_key").where(F.col(id_column) > F.col(f"_first.{id_column}"))
     return pairs.select(
         F.col(f"_first.{id_column}").alias("orig_id"),
         *[F.col(f"_first.{c}").alias(f"orig_{c}") for c in columns],

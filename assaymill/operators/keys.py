@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaymill.operators.ordered import row_numbers
+from assaymill.runtime import settled
 
 
 def dedup_by_key(df: DataFrame, key: Column, order: Sequence[Column]) -> DataFrame:
@@ -23,7 +24,7 @@ def dedup_by_key(df: DataFrame, key: Column, order: Sequence[Column]) -> DataFra
 def duplicate_listing(df: DataFrame, key: Column, order: Sequence[Column]) -> DataFrame:
     """All rows whose key occurs more than once, numbered within their key."""
     keyed = df.withColumn("norm_key", key).where("norm_key <> ''")
-    repeated = keyed.groupBy("norm_key").count().where("count > 1").select("norm_key")
+    repeated = settled(keyed.groupBy("norm_key").count().where("count > 1").select("norm_key"))
     return row_numbers(keyed.join(repeated, "norm_key"), ["norm_key"], order, "rn")
 
 

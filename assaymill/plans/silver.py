@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assaymill.functions import dates, numbers, text
+from assaymill.runtime import settled
 
 
 def _with_full_name(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -77,10 +78,9 @@ def flag_orphans(lines: DataFrame, key: str, parents: DataFrame, flag: str) -> D
     The parent side is reduced to its distinct keys, so the join cannot repeat a
     line; a heavy key sits on the left, the side the skew-join rule may split.
     """
-    known = parents.select(key).where(F.col(key).isNotNull()).distinct()
-    known = known.withColumn("_known", F.lit(1))
+    known = settled(parents.select(key).where(F.col(key).isNotNull()).distinct())
     return (
-        lines.join(known, key, "left")
+        lines.join(known.withColumn("_known", F.lit(1)), key, "left")
         .withColumn(flag, F.col("_known").isNull().cast("int"))
         .drop("_known")
     )
@@ -92,13 +92,12 @@ def flag_duplicates(df: DataFrame, key: str, flag: str) -> DataFrame:
     Only repeated keys are joined back; counting combines on the map side, so one
     very common key never gathers its rows in one task.
     """
-    repeated = (
-        df.groupBy(F.col(key).alias("_key")).count().where("count > 1").withColumn("_hit", F.lit(1))
-    )
+    counts = df.groupBy(F.col(key).alias("_key")).count()
+    repeated = settled(counts.where("count > 1").select("_key")).withColumn("_hit", F.lit(1))
     return (
         df.join(repeated, F.col(key).eqNullSafe(F.col("_key")), "left")
         .withColumn(flag, F.col("_hit").isNotNull().cast("int"))
-        .drop("_key", "_hit", "count")
+        .drop("_key", "_hit")
     )
 
 

@@ -38,6 +38,16 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """An aggregate that is about to be joined with rows whose keys may be very uneven.
+
+    Spark splits a heavy key of a shuffled join only when both inputs come straight
+    from a shuffle. An aggregate in between hides that, so its result, which has one
+    row per key, is pinned first.
+    """
+    return pinned(df)
+
+
 def bounded(df: DataFrame) -> DataFrame:
     """Broadcast hint for a side whose row count has a fixed bound.
 

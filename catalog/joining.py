@@ -8,7 +8,7 @@ from assaymill.functions import dates, text
 from assaymill.functions.numbers import fix_discount_pct, money_sum
 from assaymill.operators import joins
 from assaymill.plans import gold, silver
-from assaymill.runtime import bounded, pinned
+from assaymill.runtime import bounded, pinned, settled
 from catalog.model_sql import FIXED, datekey, esum, sql
 from catalog.registry import query
 
@@ -59,7 +59,7 @@ def anti_join_is_null(t):
     SELECT customer_id, full_name FROM cust c
     WHERE NOT EXISTS (SELECT 1 FROM headers h WHERE h.customer_id = c.customer_id)"""))
 def not_exists_anti(t):
-    return joins.anti_join(t.customers, t.headers, "customer_id").select("customer_id", "full_name")
+    return joins.anti_join(t.customers, t.headers, "customer_id", many=True).select("customer_id", "full_name")
 
 
 @query("exists_semi", sql("""
@@ -67,7 +67,7 @@ def not_exists_anti(t):
     WHERE EXISTS (SELECT 1 FROM headers h WHERE h.customer_id = c.customer_id AND h.order_status = 'Returned')"""))
 def exists_semi(t):
     returned = t.headers.where("order_status = 'Returned'")
-    return joins.semi_join(t.customers, returned, "customer_id").select("customer_id", "full_name")
+    return joins.semi_join(t.customers, returned, "customer_id", many=True).select("customer_id", "full_name")
 
 
 @query("in_subquery_semi", sql("""
@@ -78,8 +78,8 @@ def exists_semi(t):
 def in_subquery_semi(t):
     climbing = t.products.where("category = 'Climbing' AND unit_price > 995")
     lines = joins.semi_join(t.lines, climbing, "product_id")
-    orders = joins.semi_join(t.headers, lines, "order_id")
-    return joins.semi_join(t.customers, orders, "customer_id").select(
+    orders = joins.semi_join(t.headers, lines, "order_id", many=True)
+    return joins.semi_join(t.customers, orders, "customer_id", many=True).select(
         "customer_id", "full_name", "customer_segment")
 
 
@@ -177,6 +177,7 @@ def recon_join_layers(t):
     unique = t.raw("lineitem").groupBy(
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("order_line_id")
     ).count().where("count = 1").select(*grain)
+    unique = settled(unique)
     fixed = fix_discount_pct(F.col("discount_pct"))
     silver_rows = t.sales_feed.select(*grain, fixed.alias("silver_discount"))
     gold_rows = gold.fact_sales(silver.price_lines(t.sales_feed)).select(
