@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaymill.runtime import bounded, settled
+from assaymill.runtime import settled
 
 
 def star_join(
@@ -93,13 +93,9 @@ def scalar_row(spark, counts: Mapping[str, DataFrame]) -> DataFrame:
     return spark.range(1).select(*[df.scalar().alias(name) for name, df in counts.items()])
 
 
-def count_from(
-    df: DataFrame, other: DataFrame, key: str, name: str, bounded_other: bool = False
-) -> DataFrame:
+def count_from(df: DataFrame, other: DataFrame, key: str, name: str) -> DataFrame:
     """Per-row count of matching rows in another set, 0 when there are none."""
     counts = other.groupBy(key).agg(F.count("*").alias(name))
-    if bounded_other:
-        counts = bounded(counts)
     return df.join(counts, key, "left").withColumn(name, F.coalesce(name, F.lit(0)))
 
 

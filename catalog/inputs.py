@@ -6,18 +6,26 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from assaymill.plans import gold, silver
 from assaymill.sources import retail, series
 from assaymill.sources.tables import scan_table
 
 
+# Schemas of the given tables, inferred once per path instead of once per scan.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
 
     def raw(self, name: str, *columns: str) -> DataFrame:
-        return scan_table(self.spark, f"{self.dir}/{name}.parquet", *columns)
+        path = f"{self.dir}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = scan_table(self.spark, path).schema
+        return scan_table(self.spark, path, *columns, schema=_SCHEMAS[path])
 
     # Typed rows with the defects that no cleaning repairs.
     @cached_property
