@@ -97,6 +97,15 @@ def ship_lead_time(t):
     return analytics.ship_lead_time(t.fact)
 
 
+@query("ship_before_order", sql("""
+    SELECT order_id, order_line_id, order_date, ship_date, CAST(order_date - ship_date AS INTEGER) AS days_early
+    FROM fact WHERE ship_date < order_date"""))
+def ship_before_order(t):
+    early = t.fact.where(F.col("ship_date") < F.col("order_date"))
+    return early.select("order_id", "order_line_id", "order_date", "ship_date",
+                        F.datediff("order_date", "ship_date").alias("days_early"))
+
+
 @query("exclusive_channel_customers", sql("""
     SELECT customer_id, full_name, MIN(f.channel) AS only_channel
     FROM cust c JOIN fact f USING (customer_id) WHERE f.discount_pct >= 0.3::DOUBLE

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from assaymill.functions.numbers import money_sum
 from assaymill.functions.text import normalized_key
 from assaymill.operators import groups, joins, keys, ordered, windows
-from assaymill.plans import analytics, silver
-from assaymill.runtime import settled
+from assaymill.plans import analytics, gold, silver
+from assaymill.runtime import pinned, settled
 from catalog.model_sql import rnd, sql
 from catalog.registry import query
 
@@ -159,6 +160,44 @@ def top_n_per_group(t):
     return keys.top_n_per_group(revenue, ["category"], order, 2)
 
 
+@query("worst_per_group", sql("""
+    SELECT category, product_id, product_name, total_revenue, CAST(rn AS INTEGER) AS rn FROM (
+        SELECT *, row_number() OVER (PARTITION BY category ORDER BY total_revenue, product_id) AS rn FROM product_revenue)
+    WHERE rn = 1"""))
+def worst_per_group(t):
+    revenue = analytics.product_revenue(t.lines, t.products)
+    order = [F.col("total_revenue").asc(), F.col("product_id").asc()]
+    return keys.top_n_per_group(revenue, ["category"], order, 1)
+
+
+@query("top_share_per_group", sql(f"""
+    SELECT category, product_id, product_name, total_revenue, group_total,
+           {rnd("100.0::DOUBLE * total_revenue / group_total", 1)} AS pct_of_group, CAST(rn AS INTEGER) AS rn FROM (
+        SELECT *, row_number() OVER (PARTITION BY category ORDER BY total_revenue DESC, product_id) AS rn,
+               SUM(CAST(ROUND(total_revenue * 100) AS BIGINT)) OVER (PARTITION BY category)::DOUBLE / 100 AS group_total
+        FROM product_revenue)
+    WHERE rn <= 3"""))
+def top_share_per_group(t):
+    """Best three products per category with their share of it; revenue is computed once."""
+    revenue = pinned(analytics.product_revenue(t.lines, t.products))
+    shares = groups.share_of_group(revenue, ["category"], "total_revenue", canonical=True)
+    order = [F.col("total_revenue").desc(), F.col("product_id").asc()]
+    return keys.top_n_per_group(shares, ["category"], order, 3)
+
+
+@query("quarter_change", sql(f"""
+    SELECT year, quarter, quarter_total, prior AS prior_amount, {rnd("quarter_total - prior")} AS change,
+           {rnd("100.0::DOUBLE * (quarter_total - prior) / NULLIF(prior, 0)", 1)} AS pct_change
+    FROM (SELECT *, LAG(quarter_total) OVER (ORDER BY year, quarter) AS prior FROM (
+        SELECT year, CAST((month - 1) // 3 + 1 AS INTEGER) AS quarter,
+               SUM(CAST(ROUND(total_net_amount * 100) AS BIGINT))::DOUBLE / 100 AS quarter_total
+        FROM monthly GROUP BY 1, 2))"""))
+def quarter_change(t):
+    quarters = gold.agg_quarterly_by_category(t.fact, t.calendar, t.products).groupBy(
+        "year", "quarter").agg(money_sum(F.col("total_net_amount")).alias("quarter_total"))
+    return windows.period_change(quarters, "quarter_total", ["year", "quarter"])
+
+
 @query("top_category_per_year_with_yoy", sql(f"""
     SELECT year, category, year_revenue, prev_year_revenue, {rnd("year_revenue - prev_year_revenue")} AS yoy_change FROM (
         SELECT *, LAG(year_revenue) OVER (PARTITION BY category ORDER BY year) AS prev_year_revenue,
