@@ -99,13 +99,28 @@ def count_from(df: DataFrame, other: DataFrame, key: str, name: str) -> DataFram
     return df.join(counts, key, "left").withColumn(name, F.coalesce(name, F.lit(0)))
 
 
+def flag_orphans(lines: DataFrame, key: str, parents: DataFrame, flag: str) -> DataFrame:
+    """``flag`` = 1 where ``key`` has no parent, NULL keys included. Rows are kept.
+
+    Looks for the orphan keys first, over the key column alone, and marks the
+    lines with them. Orphans are few in a sound feed, so the wide lines are
+    usually not shuffled; when they are many, a heavy key is split.
+    """
+    used = lines.select(key).where(F.col(key).isNotNull()).distinct()
+    orphans = settled(used.join(parents.select(key), key, "left_anti"))
+    lost = F.col(key).isNull() | F.col("_lost").isNotNull()
+    return (
+        lines.join(orphans.withColumn("_lost", F.lit(1)), key, "left")
+        .withColumn(flag, lost.cast("int"))
+        .drop("_lost")
+    )
+
+
 def match_status(left: DataFrame, right: DataFrame, key: str, aggregates: Sequence[Column]):
     """Totals of matched and orphan rows."""
-    known = settled(right.select(key).where(F.col(key).isNotNull()).distinct())
-    known = known.withColumn("_known", F.lit(1))
-    status = F.when(F.col("_known").isNull(), "orphan").otherwise("matched")
-    joined = left.join(known, key, "left")
-    return joined.groupBy(status.alias("match_status")).agg(*aggregates)
+    status = F.when(F.col("_orphan") == 1, "orphan").otherwise("matched")
+    flagged = flag_orphans(left, key, right, "_orphan")
+    return flagged.groupBy(status.alias("match_status")).agg(*aggregates)
 
 
 def duplicate_pairs(df: DataFrame, key: Column, id_column: str, columns: Sequence[str]) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assaymill.functions import dates, numbers, text
-from assaymill.runtime import settled
+from assaymill.operators.joins import flag_orphans
+from assaymill.operators.keys import flag_duplicates
 
 
 def _with_full_name(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -72,35 +73,6 @@ def price_lines(lines: DataFrame) -> DataFrame:
     return fixed.withColumn("net_amount", total)
 
 
-def flag_orphans(lines: DataFrame, key: str, parents: DataFrame, flag: str) -> DataFrame:
-    """``flag`` = 1 where ``key`` has no parent, NULL keys included. Rows are kept.
-
-    The parent side is reduced to its distinct keys, so the join cannot repeat a
-    line; a heavy key sits on the left, the side the skew-join rule may split.
-    """
-    known = settled(parents.select(key).where(F.col(key).isNotNull()).distinct())
-    return (
-        lines.join(known.withColumn("_known", F.lit(1)), key, "left")
-        .withColumn(flag, F.col("_known").isNull().cast("int"))
-        .drop("_known")
-    )
-
-
-def flag_duplicates(df: DataFrame, key: str, flag: str) -> DataFrame:
-    """``flag`` = 1 on rows that share their ``key`` (NULL counts as a value).
-
-    Only repeated keys are joined back; counting combines on the map side, so one
-    very common key never gathers its rows in one task.
-    """
-    counts = df.groupBy(F.col(key).alias("_key")).count()
-    repeated = settled(counts.where("count > 1").select("_key")).withColumn("_hit", F.lit(1))
-    return (
-        df.join(repeated, F.col(key).eqNullSafe(F.col("_key")), "left")
-        .withColumn(flag, F.col("_hit").isNotNull().cast("int"))
-        .drop("_key", "_hit")
-    )
-
-
 def silver_sales(bronze: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     parsed = bronze.select(
         "order_id", "order_line_id", "customer_id", "product_id", "employee_id",

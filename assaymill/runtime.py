@@ -38,21 +38,27 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# Up to this many narrow rows, a few megabytes, a computed side is broadcast.
+BROADCAST_ROWS = 100_000
+
+
 def settled(df: DataFrame) -> DataFrame:
-    """An aggregate that is about to be joined with rows whose keys may be very uneven.
+    """A computed, narrow side (keys, counts) that will be joined with many uneven rows.
 
-    Spark splits a heavy key of a shuffled join only when both inputs come straight
-    from a shuffle. An aggregate in between hides that, so its result, which has one
-    row per key, is pinned first.
+    It is pinned, then counted: if it is small the other side need not be shuffled
+    at all, so it is marked for broadcast. If not, the join shuffles both inputs,
+    and because the pinned side comes without an aggregate on top, the skew-join
+    rule recognises the join and splits heavy keys.
     """
-    return pinned(df)
+    kept = pinned(df)
+    return F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept
 
 
 def bounded(df: DataFrame) -> DataFrame:
     """Broadcast hint for a side whose row count has a fixed bound.
 
-    Only for: lookup literals, one-row aggregates, calendars and month series,
-    groups over a canonical value list, and one row per shuffle partition.
-    Sides that grow with the data get no hint; Spark then decides by their size.
+    Only for: lookup literals, calendars, the few lines of a report, and at most
+    two rows per shuffle partition. Other sides get no hint and Spark decides by
+    their size, or they are counted first, see ``settled``.
     """
     return F.broadcast(df)

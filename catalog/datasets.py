@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from assaymill.functions.numbers import money_sum
-from assaymill.operators import quality
+from assaymill.operators import joins, quality
 from assaymill.plans import bi, gold, silver
 from catalog.model_sql import datekey, esum, isum, rnd, sql
 from catalog.registry import query
@@ -114,7 +114,7 @@ def sales_by_dimension(t):
            (SELECT COUNT(*) FROM fact f WHERE datekey IS NULL
             OR NOT EXISTS (SELECT 1 FROM prod p WHERE p.product_id = f.product_id)) AS excluded_rows"""))
 def rollup_reconciliation(t):
-    fact = silver.flag_orphans(t.fact, "product_id", t.products, "is_product_orphan")
+    fact = joins.flag_orphans(t.fact, "product_id", t.products, "is_product_orphan")
     excluded = F.col("datekey").isNull() | (F.col("is_product_orphan") == 1)
     rolled_up = t.monthly.agg(F.sum("order_line_count")).scalar()
     return fact.agg(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from assaymill.operators import joins
 from assaymill.plans import gold, silver
 from assaymill.sources import retail, series
 from assaymill.sources.tables import scan_table
@@ -65,9 +66,9 @@ class Tables:
 
     @cached_property
     def flagged_fact(self) -> DataFrame:
-        flagged = silver.flag_orphans(
+        flagged = joins.flag_orphans(
             self.fact, "customer_id", self.customers, "is_customer_orphan")
-        flagged = silver.flag_orphans(
+        flagged = joins.flag_orphans(
             flagged, "product_id", self.products, "is_product_orphan")
         return gold.fact_sales(flagged)
 

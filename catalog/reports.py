@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from assaymill.functions import text
 from assaymill.functions.numbers import money_sum
-from assaymill.operators import keys, quality
+from assaymill.operators import joins, keys, quality
 from assaymill.plans import gold, silver
 from catalog.model_sql import esum, isum, q, rnd, sql
 from catalog.registry import query
@@ -95,7 +95,7 @@ def unmapped_values(t):
     SELECT {isum('quantity')} AS quantity_at_risk, {esum('net_amount')} AS net_at_risk FROM flagged_fact
     WHERE is_customer_orphan = 1"""))
 def value_at_risk(t):
-    flagged = silver.flag_orphans(t.fact, "customer_id", t.customers, "is_customer_orphan")
+    flagged = joins.flag_orphans(t.fact, "customer_id", t.customers, "is_customer_orphan")
     return flagged.where("is_customer_orphan = 1").agg(
         F.sum("quantity").alias("quantity_at_risk"),
         money_sum(F.col("net_amount")).alias("net_at_risk"))
@@ -140,7 +140,7 @@ def build_validation(t):
     All counters of one table, its row count included, share one pass over it.
     """
     customers, sales = t.bronze_customers, t.bronze_sales
-    products = silver.flag_duplicates(
+    products = keys.flag_duplicates(
         t.bronze_products.withColumn("sku", F.trim("sku")), "sku", "shared")
     dated = silver.silver_sales(sales, customers, t.bronze_products)
     total, quantity, every = F.col("order_total"), F.col("quantity"), F.lit(True)

@@ -85,7 +85,7 @@ def scalar_subquery_filter(t):
 def correlated_group_average(t):
     goods = t.products.select("product_id", "category", "unit_price").where("category IS NOT NULL")
     beside = groups.with_group_value(
-        goods, ["category"], exact_avg(F.col("unit_price")), "mean", canonical=True)
+        goods, ["category"], exact_avg(F.col("unit_price")), "mean")
     return beside.where("unit_price > mean").drop("mean")
 
 

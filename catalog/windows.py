@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from assaymill.functions.numbers import money_sum
 from assaymill.functions.text import normalized_key
 from assaymill.operators import groups, joins, keys, ordered, windows
-from assaymill.plans import analytics, gold, silver
+from assaymill.plans import analytics, gold
 from assaymill.runtime import pinned, settled
 from catalog.model_sql import rnd, sql
 from catalog.registry import query
@@ -97,8 +97,8 @@ def first_crossing(t):
            {rnd("100.0::DOUBLE * total_revenue / (SUM(CAST(ROUND(total_revenue * 100) AS BIGINT)) OVER (PARTITION BY category)::DOUBLE / 100)", 1)} AS pct_of_group
     FROM product_revenue"""))
 def partition_total_share(t):
-    revenue = analytics.product_revenue(t.lines, t.products).drop("product_name")
-    return groups.share_of_group(revenue, ["category"], "total_revenue", canonical=True)
+    revenue = pinned(analytics.product_revenue(t.lines, t.products).drop("product_name"))
+    return groups.share_of_group(revenue, ["category"], "total_revenue")
 
 
 @query("lag_change", sql(f"""
@@ -139,7 +139,7 @@ def largest_drops(t):
 @query("count_over_flag", sql("""
     SELECT product_id, sku, CASE WHEN COUNT(*) OVER (PARTITION BY sku) > 1 THEN 1 ELSE 0 END AS sku_is_duplicate FROM prod"""))
 def count_over_flag(t):
-    return silver.flag_duplicates(t.products.select("product_id", "sku"), "sku", "sku_is_duplicate")
+    return keys.flag_duplicates(t.products.select("product_id", "sku"), "sku", "sku_is_duplicate")
 
 
 @query("latest_per_entity", sql("""
@@ -180,7 +180,7 @@ def worst_per_group(t):
 def top_share_per_group(t):
     """Best three products per category with their share of it; revenue is computed once."""
     revenue = pinned(analytics.product_revenue(t.lines, t.products))
-    shares = groups.share_of_group(revenue, ["category"], "total_revenue", canonical=True)
+    shares = groups.share_of_group(revenue, ["category"], "total_revenue")
     order = [F.col("total_revenue").desc(), F.col("product_id").asc()]
     return keys.top_n_per_group(shares, ["category"], order, 3)
 

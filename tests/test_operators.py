@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from assaymill.functions.text import normalized_key
 from assaymill.operators import changes, groups, joins, keys, ordered, quality
-from assaymill.plans import bi, silver
+from assaymill.plans import bi
 from assaymill.sources import series, sinks, tables
 
 
@@ -158,9 +158,9 @@ def test_constraints(spark):
 def test_flags_treat_null_as_the_reference_result(spark):
     lines = spark.createDataFrame([(1, 1), (2, 9), (3, None)], "id int, k int")
     parents = spark.createDataFrame([(1,), (1,), (None,)], "k int")
-    assert rows(silver.flag_orphans(lines, "k", parents, "o"), "id", "o") == [(1, 0), (2, 1), (3, 1)]
+    assert rows(joins.flag_orphans(lines, "k", parents, "o"), "id", "o") == [(1, 0), (2, 1), (3, 1)]
     goods = spark.createDataFrame([(1, "x"), (2, "x"), (3, None), (4, None), (5, "y")], "id int, s string")
-    assert rows(silver.flag_duplicates(goods, "s", "d"), "id", "d") == [
+    assert rows(keys.flag_duplicates(goods, "s", "d"), "id", "d") == [
         (1, 1), (2, 1), (3, 1), (4, 1), (5, 0)]
 
 

@@ -3,8 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from assaymill.operators import joins, ordered
-from assaymill.plans import silver
+from assaymill import runtime
+from assaymill.operators import joins, keys, ordered
 
 SPLIT_EARLY = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -25,6 +25,12 @@ def lines(spark):
         spark.conf.unset(name)
 
 
+@pytest.fixture(autouse=True)
+def no_small_sides(monkeypatch):
+    """As if every computed side were too large to broadcast."""
+    monkeypatch.setattr(runtime, "BROADCAST_ROWS", -1)
+
+
 @pytest.fixture(scope="module")
 def parents(spark):
     # Every key twice, so a careless join would repeat lines.
@@ -38,11 +44,20 @@ def run(df):
 
 
 def test_orphan_flag(lines, parents):
-    rows, split = run(silver.flag_orphans(lines, "k", parents, "orphan"))
+    rows, split = run(joins.flag_orphans(lines, "k", parents, "orphan"))
     assert split and len(rows) == 90000
     assert sum(r.orphan for r in rows) == sum(1 for i in range(90000) if i % 3 and i % 5000 >= 4500)
 
 
+def test_few_orphans_leave_the_lines_unshuffled(lines, parents, monkeypatch):
+    monkeypatch.setattr(runtime, "BROADCAST_ROWS", 100_000)
+    flagged = joins.flag_orphans(lines, "k", parents, "orphan")
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert flagged.where("orphan = 1").count() == sum(
+        1 for i in range(90000) if i % 3 and i % 5000 >= 4500)
+
+
 def test_star_join(lines, parents):
     rows, split = run(joins.star_join(lines, [(parents.distinct().repartition(3), "k")], "left"))
     assert len(rows) == 90000
@@ -51,7 +66,7 @@ def test_star_join(lines, parents):
 
 
 def test_duplicate_flag(lines):
-    rows, split = run(silver.flag_duplicates(lines, "k", "dup"))
+    rows, split = run(keys.flag_duplicates(lines, "k", "dup"))
     assert split and len(rows) == 90000 and all(r.dup == 1 for r in rows if r.k == 7)
 
 
