@@ -12,7 +12,7 @@ from catalog.registry import query
 from catalog.sets import NEWEST, TIE
 
 
-@query("silver_customers", sql("SELECT * FROM silver_customers"))
+@query("silver_customers", sql("SELECT * FROM cust"))
 def silver_customers(t):
     return silver.silver_customers(t.bronze_customers)
 
@@ -22,7 +22,7 @@ def silver_products(t):
     return silver.silver_products(t.bronze_products)
 
 
-@query("silver_employees", sql("SELECT * FROM silver_employees"))
+@query("silver_employees", sql("SELECT * FROM emp"))
 def silver_employees(t):
     return silver.silver_employees(t.bronze_employees)
 
@@ -37,7 +37,7 @@ def silver_calendar(t):
     return silver.silver_calendar(t.spine)
 
 
-@query("dim_customer", sql("SELECT * FROM silver_customers"))
+@query("dim_customer", sql("SELECT * FROM cust"))
 def dim_customer(t):
     return gold.dim_customer(silver.silver_customers(t.bronze_customers))
 
@@ -47,7 +47,7 @@ def dim_product(t):
     return gold.dim_product(silver.silver_products(t.bronze_products))
 
 
-@query("dim_employee", sql("SELECT * FROM silver_employees"))
+@query("dim_employee", sql("SELECT * FROM emp"))
 def dim_employee(t):
     return gold.dim_employee(silver.silver_employees(t.bronze_employees))
 

@@ -66,30 +66,10 @@ def mixed_boolean(flag: str, k: str) -> str:
             f"WHEN 0 THEN {pick(synth.FALSE_TEXTS, k)} END)")
 
 
-def parse_date(c: str) -> str:
-    return (f"(CASE WHEN regexp_full_match({c}, '../../....') THEN try_strptime({c}, '%m/%d/%Y')::DATE "
-            f"WHEN regexp_full_match({c}, '....-..-..( ..:..:..)?') "
-            f"THEN try_cast(substr({c}, 1, 10) AS DATE) END)")
-
-
-def parse_boolean(c: str) -> str:
-    return (f"(CASE WHEN lower(trim({c})) IN ('y','yes','true','1') THEN 1 "
-            f"WHEN lower(trim({c})) IN ('n','no','false','0') THEN 0 END)")
-
-
-def title_first(c: str) -> str:
-    return f"(upper(substr({c}, 1, 1)) || lower(substr({c}, 2)))"
-
-
-def squeeze(c: str) -> str:
-    return f"trim(regexp_replace(trim({c}), ' +', ' ', 'g'))"
-
-
 NET = rnd("coalesce(quantity, 0) * unit_price * (1 - discount_pct)")
 FIXED = "(CASE WHEN discount_pct > 1 THEN discount_pct / 100 ELSE discount_pct END)"
 STATES = list(text.STATE_CODES.values())
 STATE_ROWS = ", ".join(f"({q(n)}, {q(c)})" for n, c in text.STATE_CODES.items())
-DOTTED_ROWS = ", ".join(f"({q(n)}, {q(c)})" for n, c in text.DOTTED_STATES.items())
 DOTTED_FULL = "CASE full_state " + " ".join(
     f"WHEN {q(n)} THEN {q(d)}" for n, d in synth.DOTTED_STATES.items()) + " ELSE full_state END"
 SHORT_CATEGORY = "CASE category " + " ".join(
@@ -260,67 +240,33 @@ CTES: dict[str, str] = {
                {mixed_boolean('is_manager', 'employee_id')} AS is_manager,
                upper(CASE WHEN employee_id % 50 = 3 THEN '' ELSE email END) AS email
         FROM (SELECT *, CASE WHEN employee_id % 3 = 0 THEN ' ' ELSE '' END AS pad FROM emp)""",
+    "sales_with_total": f"""
+        SELECT * EXCLUDE (correct, stale), CASE (order_id + order_line_id) % 10 WHEN 4 THEN ' $' || correct WHEN 5 THEN stale
+                   WHEN 6 THEN '$' || stale || ' ' WHEN 7 THEN 'TBD' WHEN 8 THEN 'N/A' WHEN 9 THEN NULL
+                   ELSE correct END AS order_total
+        FROM (SELECT sales_feed.*,
+                     CAST(CAST({NET.replace('discount_pct', FIXED)} AS DECIMAL(18,2)) AS VARCHAR) AS correct,
+                     CAST(CAST({rnd('coalesce(quantity, 0) * unit_price')} AS DECIMAL(18,2)) AS VARCHAR) AS stale
+              FROM sales_feed)""",
     "bronze_sales": f"""
         SELECT order_id, order_line_id, customer_id, product_id, employee_id,
                {mixed_date('order_date', 'order_id')} AS order_date,
                {mixed_date('ship_date', 'order_id + order_line_id')} AS ship_date,
-               quantity, unit_price, discount_pct,
-               CASE (order_id + order_line_id) % 10 WHEN 4 THEN ' $' || correct WHEN 5 THEN stale
-                   WHEN 6 THEN '$' || stale || ' ' WHEN 7 THEN 'TBD' WHEN 8 THEN 'N/A' WHEN 9 THEN NULL
-                   ELSE correct END AS order_total,
+               quantity, unit_price, discount_pct, order_total,
                CASE WHEN payment_method = 'Credit Card' AND order_id % 6 = 0 THEN 'CC'
                     ELSE {mixed_case('payment_method', 'order_id', False)} END AS payment_method,
                {mixed_case('order_status', 'order_id + 1', False)} AS order_status,
                CASE WHEN channel = 'In-Store' AND order_line_id % 2 = 0 THEN 'in store'
                     ELSE {mixed_case('channel', 'order_line_id', False)} END AS channel
-        FROM (SELECT sales_feed.*,
-                     CAST(CAST({NET.replace('discount_pct', FIXED)} AS DECIMAL(18,2)) AS VARCHAR) AS correct,
-                     CAST(CAST({rnd('coalesce(quantity, 0) * unit_price')} AS DECIMAL(18,2)) AS VARCHAR) AS stale
-              FROM sales_feed)""",
-    # Cleaned text.
-    "silver_customers": f"""
-        SELECT customer_id, {title_first('f')} AS first_name, {title_first('l')} AS last_name,
-               {title_first('f')} || ' ' || {title_first('l')} AS full_name,
-               NULLIF(trim(lower(email)), '') AS email,
-               CASE WHEN trim(phone) = '' THEN NULL
-                    WHEN regexp_full_match(phone, '[0-9]{{10}}|\\(...\\) ...-....|...-...-....|...\\.....*|\\+1 ... ... ....')
-                    THEN regexp_replace(regexp_replace(regexp_replace(phone, '^\\+1', ''), '[^0-9]', '', 'g'),
-                                        '^(...)(...)(....)$', '(\\1) \\2-\\3')
-                    ELSE phone END AS phone,
-               COALESCE((SELECT code FROM (VALUES {STATE_ROWS}, {DOTTED_ROWS}) AS s(name, code) WHERE name = lower(trim(state))),
-                        (SELECT code FROM (VALUES {STATE_ROWS}) AS s(name, code) WHERE code = upper(trim(state)))) AS state,
-               {parse_date('signup_date')} AS signup_date, {parse_boolean('is_active')} AS is_active,
-               {decode('lower(trim(customer_segment))', text.SEGMENTS)} AS customer_segment
-        FROM (SELECT *, {squeeze('first_name')} AS f, {squeeze('last_name')} AS l FROM bronze_customers)""",
-    "silver_products": f"""
-        SELECT product_id, trim(product_name) AS product_name,
-               {decode("lower(trim(replace(category, '  ', ' ')))", text.CATEGORIES)} AS category,
-               NULLIF(trim(subcategory), '') AS subcategory, trim(brand) AS brand, unit_cost, unit_price,
-               {parse_boolean('is_discontinued')} AS is_discontinued, trim(sku) AS sku,
-               CASE WHEN COUNT(*) OVER (PARTITION BY trim(sku)) > 1 THEN 1 ELSE 0 END AS sku_is_duplicate,
-               CAST(replace(weight_kg, ' kg', '') AS DOUBLE) AS weight_kg, {parse_date('created_at')} AS created_at
-        FROM bronze_products""",
-    "silver_employees": f"""
-        SELECT employee_id, {title_first('trim(first_name)')} AS first_name, {title_first('trim(last_name)')} AS last_name,
-               {title_first('trim(first_name)')} || ' ' || {title_first('trim(last_name)')} AS full_name,
-               {decode('lower(trim(department))', text.DEPARTMENTS)} AS department,
-               {decode('lower(trim(region))', text.REGIONS)} AS region,
-               {parse_date('hire_date')} AS hire_date, {parse_date('termination_date')} AS termination_date,
-               {parse_boolean('is_manager')} AS is_manager, NULLIF(trim(lower(email)), '') AS email
-        FROM bronze_employees""",
+        FROM sales_with_total""",
+    # The silver layer is known without cleaning: it is the model before the noise.
+    "silver_products": """
+        SELECT *, CASE WHEN COUNT(*) OVER (PARTITION BY sku) > 1 THEN 1 ELSE 0 END AS sku_is_duplicate FROM prod""",
     "silver_sales": f"""
-        SELECT order_id, order_line_id, customer_id, product_id, employee_id, order_date, ship_date,
-               quantity, unit_price, discount_pct, {NET} AS net_amount, order_total_raw, payment_method,
-               order_status, channel, is_customer_orphan, is_product_orphan
-        FROM (SELECT order_id, order_line_id, customer_id, product_id, employee_id,
-                     {parse_date('order_date')} AS order_date, {parse_date('ship_date')} AS ship_date,
-                     quantity, unit_price, {FIXED} AS discount_pct, order_total AS order_total_raw,
-                     {decode('lower(trim(payment_method))', text.PAYMENT_METHODS)} AS payment_method,
-                     {decode('lower(trim(order_status))', text.ORDER_STATUSES)} AS order_status,
-                     {decode("replace(lower(trim(channel)), '-', ' ')", text.CHANNELS)} AS channel,
-                     CASE WHEN EXISTS (SELECT 1 FROM bronze_customers c WHERE c.customer_id = b.customer_id) THEN 0 ELSE 1 END AS is_customer_orphan,
-                     CASE WHEN EXISTS (SELECT 1 FROM bronze_products p WHERE p.product_id = b.product_id) THEN 0 ELSE 1 END AS is_product_orphan
-              FROM bronze_sales b)""",
+        SELECT * EXCLUDE (order_total), order_total AS order_total_raw, {NET} AS net_amount,
+               CASE WHEN customer_id IN (SELECT customer_id FROM cust) THEN 0 ELSE 1 END AS is_customer_orphan,
+               CASE WHEN product_id IN (SELECT product_id FROM prod) THEN 0 ELSE 1 END AS is_product_orphan
+        FROM (SELECT * REPLACE ({FIXED} AS discount_pct) FROM sales_with_total)""",
 }
 
 
