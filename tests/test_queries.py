@@ -6,12 +6,12 @@ import pytest
 
 import __spark_entry__ as registered
 import check
-
-QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
+from catalog.registry import ORACLES, QUERIES
 
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(registered.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
