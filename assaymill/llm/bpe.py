@@ -18,13 +18,16 @@ from __future__ import annotations
 
 import base64
 import functools
+import hashlib
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assaymill.llm.common import stored
+from assaymill.llm.common import groups, stored
 
 CHUNK = 1 << 16
 OVERLAP = 1 << 12
@@ -48,6 +51,16 @@ def _pattern(pattern: str):
     return regex.compile(pattern)
 
 
+def _encoded(batch: pa.RecordBatch, carried: list[str], path: str, pattern: str) -> Iterator[pa.RecordBatch]:
+    """The carried columns and the ids of the texts, some texts at a time."""
+    encoding, _ = _vocabulary(path, pattern)
+    texts = batch.column("_text").to_pylist()
+    for i, j in groups(texts):
+        lists = pa.array([np.array(encoding.encode_ordinary(t), np.int32) for t in texts[i:j]], pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(c).slice(i, j - i) for c in carried), lists], [*carried, "ids"])
+
+
 def _starts(text: str, pattern: str) -> list[int]:
     """Where pre-tokens begin after something other than white space.
 
@@ -103,11 +116,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: t
     kinds = dict(named.dtypes)
 
     def run(batches):
-        encoding, _ = _vocabulary(path, pattern)
         for batch in batches:
-            lists = [encoding.encode_ordinary(t) for t in batch.column("_text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in carried), pa.array(lists, pa.list_(pa.int32()))], [*carried, "ids"])
+            yield from _encoded(batch, carried, path, pattern)
 
     carried = list(names)
     head = "".join(f"{c} {kinds[c]}, " for c in carried)
@@ -131,11 +141,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: t
         .alias("_text")).repartition("blob", "n")
 
     def run_pieces(batches):
-        encoding, _ = _vocabulary(path, pattern)
         for batch in batches:
-            lists = [encoding.encode_ordinary(t) for t in batch.column("_text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("blob"), batch.column("n"), pa.array(lists, pa.list_(pa.int32()))], ["blob", "n", "ids"])
+            yield from _encoded(batch, ["blob", "n"], path, pattern)
 
     encoded = pieces.mapInArrow(run_pieces, "blob string, n int, ids array<int>")
     whole = encoded.groupBy("blob").agg(F.flatten(F.transform(
@@ -149,8 +156,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", out: s
     def run(batches):
         _, table = _vocabulary(path, pattern)
         for batch in batches:
-            data = [b"".join([table[i] for i in x]) if x is not None else None
-                    for x in batch.column(ids).to_pylist()]
+            data = [b"".join([table[i] for i in x.as_py()]) if x.is_valid else None for x in batch.column(ids)]
             yield batch.append_column(out, pa.array(data, pa.binary()))
 
     kinds = ", ".join(f"`{c}` {t}" for c, t in encoded.dtypes)
@@ -159,10 +165,6 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", out: s
 
 def digest_ids(encoded: DataFrame, ids: str = "ids") -> DataFrame:
     """``encoded`` without its ids but with their number and the SHA-256 of their little-endian bytes."""
-    import hashlib
-
-    import numpy as np
-
     rest = [c for c in encoded.columns if c != ids]
 
     def run(batches):
@@ -176,7 +178,3 @@ def digest_ids(encoded: DataFrame, ids: str = "ids") -> DataFrame:
 
     kinds = "".join(f"`{c}` {t}, " for c, t in encoded.dtypes if c != ids)
     return encoded.mapInArrow(run, f"{kinds}n_tokens bigint, ids_sha256 string")
-
-
-def sha256_of(data: Column) -> Column:
-    return F.sha2(data, 256)

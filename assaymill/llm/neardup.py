@@ -48,7 +48,6 @@ COMMON = 0.1  # share of texts up to which a shingle has full weight
 LEAST_IDF = 0.1
 IDS = (1 << 48) - 1
 BLOCK = 1 << 16  # shingles sampled at a time
-GROUP_WORDS = 1 << 18
 
 
 class _Hashes(dict):
@@ -166,11 +165,11 @@ def idf_table(docs: DataFrame, text: str = "text") -> np.ndarray:
     def run(batches):
         sums, seen = np.zeros(BINS, np.int64), 0
         for batch in batches:
-            texts = [words_of(t) for t in batch.column("text").to_pylist()]
-            for i, j in groups(texts, GROUP_WORDS):
-                _, ids, _ = shingles(texts[i:j])
-                sums += np.bincount(_bin(ids), minlength=BINS)
-                seen += sum(map(bool, texts[i:j]))
+            texts = batch.column("text").to_pylist()
+            for i, j in groups(texts):
+                words = [words_of(t) for t in texts[i:j]]
+                sums += np.bincount(_bin(shingles(words)[1]), minlength=BINS)
+                seen += sum(map(bool, words))
         bins = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, bins]), pa.array(np.r_[seen, sums[bins]])], ["bin", "n"])
 
@@ -191,18 +190,19 @@ def signatures(docs: DataFrame, idf, doc_id: str = "doc_id", text: str = "text")
 
     def run(batches):
         for batch in batches:
-            raw = batch.column("text").to_pylist()
-            texts = [words_of(t) for t in raw]
-            nodes = [xxhash.xxh3_128_digest(b" ".join(w)) if w else xxhash.xxh3_128_digest(t.encode(), seed=1)
-                     for w, t in zip(texts, raw)]
-            parts = [np.zeros((0, count), np.int32)]
-            for i, j in groups(texts, GROUP_WORDS):
-                owner, ids, times = shingles(texts[i:j])
+            texts = batch.column("text").to_pylist()
+            nodes, worded, parts = [], [], [np.zeros((0, count), np.int32)]
+            for i, j in groups(texts):
+                words = [words_of(t) for t in texts[i:j]]
+                nodes += [xxhash.xxh3_128_digest(b" ".join(w)) if w else xxhash.xxh3_128_digest(t.encode(), seed=1)
+                          for w, t in zip(words, texts[i:j])]
+                worded += map(bool, words)
+                owner, ids, times = shingles(words)
                 parts.append(samples(owner, ids, weigh(ids, times, idf.value), j - i))
             flat = np.concatenate(parts).reshape(-1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("h"), pa.array(nodes, pa.binary()),
-                 pa.array([bool(w) for w in texts], pa.bool_()),
+                 pa.array(worded, pa.bool_()),
                  pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, count), pa.int32()), pa.array(flat))],
                 ["doc_id", "h", "node", "worded", "sample"])
 
