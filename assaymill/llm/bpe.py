@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assaymill.llm.common import groups, stored
+from assaymill.llm.common import stored, text_groups
 
 CHUNK = 1 << 16
 OVERLAP = 1 << 12
@@ -54,11 +54,10 @@ def _pattern(pattern: str):
 def _encoded(batch: pa.RecordBatch, carried: list[str], path: str, pattern: str) -> Iterator[pa.RecordBatch]:
     """The carried columns and the ids of the texts, some texts at a time."""
     encoding, _ = _vocabulary(path, pattern)
-    texts = batch.column("_text").to_pylist()
-    for i, j in groups(texts):
-        lists = pa.array([np.array(encoding.encode_ordinary(t), np.int32) for t in texts[i:j]], pa.list_(pa.int32()))
+    for at, texts in text_groups(batch.column("_text")):
+        lists = pa.array([np.array(encoding.encode_ordinary(t), np.int32) for t in texts], pa.list_(pa.int32()))
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c).slice(i, j - i) for c in carried), lists], [*carried, "ids"])
+            [*(batch.column(c).slice(at, len(texts)) for c in carried), lists], [*carried, "ids"])
 
 
 def _starts(text: str, pattern: str) -> list[int]:

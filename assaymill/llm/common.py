@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,15 +34,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def groups(texts: Sequence[str | bytes | None], limit: int = GROUP_CHARS,
-           rows: int = 1 << 15) -> Iterator[tuple[int, int]]:
-    """Row ranges [i, j) of about ``limit`` characters; a longer text is a range of its own."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        n = len(text) if text else 0
-        if i - start >= rows or size and size + n > limit:
+def groups(sizes: Sequence[int] | np.ndarray, limit: int = GROUP_CHARS, rows: int = 1 << 15) -> Iterator[tuple[int, int]]:
+    """Row ranges [i, j) of about ``limit`` in total size; a larger row is a range of its own."""
+    start = total = 0
+    for i, n in enumerate(sizes):
+        if i - start >= rows or total and total + n > limit:
             yield start, i
-            start, size = i, 0
-        size += n
-    if start < len(texts):
-        yield start, len(texts)
+            start, total = i, 0
+        total += n
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def text_groups(column: pa.Array, limit: int = GROUP_CHARS) -> Iterator[tuple[int, list[str | None]]]:
+    """The texts of a column, some at a time, with the row at which they begin."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    for i, j in groups(sizes, limit):
+        yield i, column.slice(i, j - i).to_pylist()

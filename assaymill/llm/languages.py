@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaymill.llm.common import GROUP_CHARS, groups
+from assaymill.llm.common import GROUP_CHARS, groups, text_groups
 
 BINS = 1 << 16  # hashed trigrams
 SMOOTHING = 0.05
@@ -70,7 +70,7 @@ def _slices(text: str) -> Iterator[str]:
 def _words(texts: list[str | None], model: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Log-likelihoods (words x languages) and the row of each word."""
     parts, rows = [], []
-    for i, j in groups(texts):
+    for i, j in groups([len(t or "") for t in texts]):
         if j - i == 1:
             pieces, owner = list(_slices(texts[i] or "")), None
         else:
@@ -162,11 +162,13 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> tuple[
     def count(batches):
         sums = np.zeros(len(index) * BINS, np.int64)
         for batch in batches:
-            langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
-            for name in dict.fromkeys(langs):
-                own = [t for t, x in zip(texts, langs) if x == name]
-                for i, j in groups(own):
-                    for piece in _slices(" ".join(own[i:j])):
+            langs = batch.column("lang").to_pylist()
+            for at, texts in text_groups(batch.column("text")):
+                by_lang: dict[str, list[str]] = {}
+                for name, text in zip(langs[at:], texts):
+                    by_lang.setdefault(name, []).append(text)
+                for name, own in by_lang.items():
+                    for piece in _slices(" ".join(own)):
                         sums[index[name] * BINS:][:BINS] += np.bincount(_trigrams(piece)[1], minlength=BINS)
         bins = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(bins), pa.array(sums[bins])], ["bin", "n"])
@@ -193,12 +195,13 @@ def identify(docs: DataFrame, names: list[str], model: np.ndarray, held_out: Col
 
     def predict(batches):
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            share, sure = infer(texts, shared.value) if names else (np.zeros((len(texts), 1)),) * 2
+            share, sure = np.zeros((batch.num_rows, max(1, len(names)))), np.zeros(batch.num_rows)
+            for at, texts in text_groups(batch.column("_text"), 4 * GROUP_CHARS) if names else ():
+                share[at:at + len(texts)], sure[at:at + len(texts)] = infer(texts, shared.value)
             top = share.argmax(axis=1)
             known = share.max(axis=1) > 0
             labels = [names[k] if yes else UNKNOWN for k, yes in zip(top, known)]
-            score = np.where(known, share.max(axis=1) * sure.reshape(len(texts), -1)[:, 0], 0.0)
+            score = np.where(known, share.max(axis=1) * sure, 0.0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(labels, pa.string()),
                  pa.array(np.clip(score, 0, 1)), pa.array((share > 0.01).sum(axis=1).astype(np.int32)),

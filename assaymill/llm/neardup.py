@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assaymill.llm.common import groups, stored
+from assaymill.llm.common import stored, text_groups
 from assaymill.llm.components import components
 from assaymill.llm.decontaminate import words_of
 
@@ -165,9 +165,8 @@ def idf_table(docs: DataFrame, text: str = "text") -> np.ndarray:
     def run(batches):
         sums, seen = np.zeros(BINS, np.int64), 0
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for i, j in groups(texts):
-                words = [words_of(t) for t in texts[i:j]]
+            for _, texts in text_groups(batch.column("text")):
+                words = [words_of(t) for t in texts]
                 sums += np.bincount(_bin(shingles(words)[1]), minlength=BINS)
                 seen += sum(map(bool, words))
         bins = np.flatnonzero(sums)
@@ -190,15 +189,14 @@ def signatures(docs: DataFrame, idf, doc_id: str = "doc_id", text: str = "text")
 
     def run(batches):
         for batch in batches:
-            texts = batch.column("text").to_pylist()
             nodes, worded, parts = [], [], [np.zeros((0, count), np.int32)]
-            for i, j in groups(texts):
-                words = [words_of(t) for t in texts[i:j]]
+            for _, texts in text_groups(batch.column("text")):
+                words = [words_of(t) for t in texts]
                 nodes += [xxhash.xxh3_128_digest(b" ".join(w)) if w else xxhash.xxh3_128_digest(t.encode(), seed=1)
-                          for w, t in zip(words, texts[i:j])]
+                          for w, t in zip(words, texts)]
                 worded += map(bool, words)
                 owner, ids, times = shingles(words)
-                parts.append(samples(owner, ids, weigh(ids, times, idf.value), j - i))
+                parts.append(samples(owner, ids, weigh(ids, times, idf.value), len(texts)))
             flat = np.concatenate(parts).reshape(-1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("h"), pa.array(nodes, pa.binary()),
