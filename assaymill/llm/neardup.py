@@ -292,7 +292,8 @@ def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least:
         "a", "b", "w.side", F.col("w.doc_id").alias("of"), F.col("w.h").alias("of_h"))
     content = F.coalesce(F.col(text), F.lit(""))
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(content).alias("h"), content.alias("text"))
-    met = wanted.join(texts, F.col("of").eqNullSafe(F.col("doc_id")) & (F.col("of_h") == F.col("h")))
+    # Merged at every size, so that the plan for few candidates is the plan for many.
+    met = wanted.join(texts.hint("merge"), F.col("of").eqNullSafe(F.col("doc_id")) & (F.col("of_h") == F.col("h")))
     both = met.groupBy("a", "b").agg(
         F.first(F.when(F.col("side") == 0, F.col("text")), ignorenulls=True).alias("u"),
         F.first(F.when(F.col("side") == 1, F.col("text")), ignorenulls=True).alias("v"))
