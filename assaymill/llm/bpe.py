@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assaymill.llm.common import stored, text_groups
+from assaymill.llm.common import small_batches, stored, text_groups
 
 CHUNK = 1 << 16
 OVERLAP = 1 << 12
@@ -106,6 +106,7 @@ def stitch(marks: DataFrame) -> DataFrame:
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
            chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """The columns in ``keep``, then ``ids`` (array of int), for every row."""
+    small_batches(docs.sparkSession)
     if not 2 * GUARD < overlap <= chunk:
         raise ValueError("the overlap must be longer than twice the guard and no longer than a chunk")
     content = F.coalesce(F.col(text), F.lit(""))

@@ -15,6 +15,7 @@ from assaymill.runtime import new_scratch_path
 # Texts are handled in groups of about this many characters, so that a task's memory
 # depends neither on the number of rows in an Arrow batch nor on one long text.
 GROUP_CHARS = 1 << 20
+BATCH_ROWS = 1000
 
 
 def fold(doc_id: str | Column, folds: int) -> Column:
@@ -23,6 +24,17 @@ def fold(doc_id: str | Column, folds: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts travel to Python in Arrow batches of ``BATCH_ROWS`` rows, unless the session says otherwise.
+
+    Spark's default of 10,000 rows is meant for numbers; with texts, batches of that size
+    and their copies are most of what a Python worker holds.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once into the shared scratch folder and read it back.
 

@@ -30,6 +30,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from assaymill.llm.common import small_batches
+
 WINDOW = 10
 BLOCK_WORDS = 200_000
 CACHED = 4
@@ -209,6 +211,7 @@ def scan_words(words: list[bytes], blocks: list[Broadcast], window: int) -> tupl
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, doc_id: str = "doc_id",
                   text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row per document: ``RESULT``."""
+    small_batches(docs.sparkSession)
     blocks = item_blocks(items, window, block_words=block_words)
     frame = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
 
@@ -249,6 +252,7 @@ def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, longest: int
     Spans of more than ``longest`` words, and whole short items, are cut out of the text;
     a document whose hit words are more than ``coverage`` of its words goes whole.
     """
+    small_batches(docs.sparkSession)
     blocks = item_blocks(items, window, block_words=block_words)
     at = docs.columns.index(text)
 

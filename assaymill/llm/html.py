@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from assaymill.llm.common import small_batches
+
 RESULT = "page_id bigint, url string, text string, n_chars bigint"
 
 SHORT, LONG = 70, 200  # characters
@@ -200,6 +202,7 @@ def main_text(html: str | None, stop_words: frozenset[str] = STOP_WORDS) -> str:
 
 def extract(pages: DataFrame, stop_words: frozenset[str] = STOP_WORDS) -> DataFrame:
     """One row per page: ``RESULT``."""
+    small_batches(pages.sparkSession)
     frame = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
                          F.col("html").cast("string").alias("html"))
 

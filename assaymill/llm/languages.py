@@ -30,14 +30,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaymill.llm.common import GROUP_CHARS, groups, text_groups
+from assaymill.llm.common import GROUP_CHARS, groups, small_batches, text_groups
 
 BINS = 1 << 16  # hashed trigrams
 SMOOTHING = 0.05
 ROUNDS = 12
 MODEL_BYTES = 256 << 20  # the model is broadcast; more languages than fit are refused
 UNKNOWN = "und"
-RESULT = "doc_id bigint, held_out boolean, lang_pred string, score double, n_langs int"
 
 
 @functools.cache
@@ -152,6 +151,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> tuple[
 
     Counts cover every given row; tasks send sums per bin, and Spark adds them up.
     """
+    small_batches(labelled.sparkSession)
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")) \
         .where("text is not null and lang is not null")
     names = sorted(r.lang for r in rows.select("lang").distinct().collect())
@@ -183,30 +183,34 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> tuple[
     return names, np.ascontiguousarray(model.T, np.float32)
 
 
-def identify(docs: DataFrame, names: list[str], model: np.ndarray, held_out: Column | None = None,
-             keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: ``RESULT``, then the columns of ``docs`` named in ``keep``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    kinds = dict(docs.dtypes)
-    frame = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("_text"),
-        (F.lit(None).cast("boolean") if held_out is None else held_out).alias("held_out"),
-        *[F.col(f"`{c}`").alias(f"_keep_{c}") for c in keep])
+def _predicted(frame: DataFrame, names: list[str], model: np.ndarray, carried: list[str], schema: str) -> DataFrame:
+    """``carried`` columns and lang_pred, score, n_langs; the text is in ``text`` or in ``row``."""
+    small_batches(frame.sparkSession)
+    shared = frame.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches):
         for batch in batches:
+            column = batch.column("text") if "text" in batch.schema.names else batch.column("row").field("text")
             share, sure = np.zeros((batch.num_rows, max(1, len(names)))), np.zeros(batch.num_rows)
-            for at, texts in text_groups(batch.column("_text"), 4 * GROUP_CHARS) if names else ():
+            for at, texts in text_groups(column, 4 * GROUP_CHARS) if names else ():
                 share[at:at + len(texts)], sure[at:at + len(texts)] = infer(texts, shared.value)
-            top = share.argmax(axis=1)
-            known = share.max(axis=1) > 0
-            labels = [names[k] if yes else UNKNOWN for k, yes in zip(top, known)]
-            score = np.where(known, share.max(axis=1) * sure, 0.0)
+            top, peak = share.argmax(axis=1), share.max(axis=1)
+            labels = [names[k] if p > 0 else UNKNOWN for k, p in zip(top, peak)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(labels, pa.string()),
-                 pa.array(np.clip(score, 0, 1)), pa.array((share > 0.01).sum(axis=1).astype(np.int32)),
-                 *[batch.column(f"_keep_{c}") for c in keep]],
-                [*(c.split()[0] for c in RESULT.split(", ")), *(f"_keep_{c}" for c in keep)])
+                [*(batch.column(c) for c in carried), pa.array(labels, pa.string()),
+                 pa.array(np.clip(peak * sure, 0, 1)), pa.array((share > 0.01).sum(axis=1).astype(np.int32))],
+                [*carried, "lang_pred", "score", "n_langs"])
 
-    schema = RESULT + "".join(f", `_keep_{c}` {kinds[c]}" for c in keep)
-    return frame.mapInArrow(predict, schema).withColumnsRenamed({f"_keep_{c}": c for c in keep})
+    return frame.mapInArrow(predict, f"{schema}, lang_pred string, score double, n_langs int")
+
+
+def identify(docs: DataFrame, names: list[str], model: np.ndarray, held_out: Column) -> DataFrame:
+    """One row per document: doc_id, held_out, lang_pred, score, n_langs."""
+    frame = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out.alias("held_out"), "text")
+    return _predicted(frame, names, model, ["doc_id", "held_out"], "doc_id bigint, held_out boolean")
+
+
+def annotate(docs: DataFrame, names: list[str], model: np.ndarray) -> DataFrame:
+    """Every row of ``docs`` whole as the struct ``row``, next to lang_pred, score, n_langs."""
+    frame = docs.select(F.struct("*").alias("row"))
+    return _predicted(frame, names, model, ["row"], f"row {frame.schema['row'].dataType.simpleString()}")

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assaymill.llm.common import stored, text_groups
+from assaymill.llm.common import small_batches, stored, text_groups
 from assaymill.llm.components import components
 from assaymill.llm.decontaminate import words_of
 
@@ -269,6 +269,7 @@ class Classes:
 
 def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> Classes:
     """The class of every document: the id of its first document (by id, then by a hash of the text)."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(idf_table(docs, text))
     signed = stored(signatures(docs, shared, doc_id, text), "signatures")

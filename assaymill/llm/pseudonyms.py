@@ -25,6 +25,8 @@ from functools import cached_property
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from assaymill.llm.common import small_batches
+
 ROUNDS = 10
 KINDS = ("email", "iban", "card", "ssn", "date", "ip", "phone")
 FIRST_YEAR, YEARS = 1900, 200
@@ -221,6 +223,7 @@ SHAPES_CARD = re.compile(r"\d(?:[ -]?\d){12,18}")
 
 def pseudonymise(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     """``docs`` with values in ``text`` replaced, and a map ``pii`` of kind to number found."""
+    small_batches(docs.sparkSession)
     at = docs.columns.index(text)
     name = "pii"
     while name in docs.columns:

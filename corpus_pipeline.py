@@ -31,8 +31,7 @@ def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language; no letters or no clear language: rejected."""
     names, model = languages.learn(docs.where(fold("doc_id", 5) != 0))
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text")
-    told = languages.identify(rows, names, model, keep=("row",))
+    told = languages.annotate(docs, names, model)
     return told.where((F.col("lang_pred") != languages.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("row.*")
 
 
