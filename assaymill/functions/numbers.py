@@ -25,6 +25,11 @@ def money_sum(c: Column) -> Column:
     return exact_sum(c, 2)
 
 
+def product_sum(c: Column, digits: int = 6) -> Column:
+    """Sum of products of numbers and prices, exact to ``digits`` decimals; not rounded to cents before."""
+    return F.sum(c.cast(f"decimal(28,{digits})")).cast("double")
+
+
 def nearest_cent(c: Column) -> Column:
     """Cents of a computed price, halves upwards; plain arithmetic, for values >= 0."""
     return F.floor(c * 100 + 0.5) / 100

@@ -62,10 +62,10 @@ FALSE_TEXTS = ("n", "no", "false", "0")
 def lookup(key: Column, table: Mapping[str, str]) -> Column:
     """Value for ``key`` in a literal table, NULL when it is not listed.
 
-    The table travels as one text and is folded to a constant map by the optimizer.
+    The table is a literal map, which the optimizer folds to a constant.
     """
-    entries = F.lit(";".join(f"{k}={v}" for k, v in table.items()))
-    return F.try_element_at(F.str_to_map(entries, F.lit(";"), F.lit("=")), key)
+    entries = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    return F.try_element_at(entries, key)
 
 
 def normalized_key(c: Column) -> Column:

@@ -67,8 +67,11 @@ def scd2_merge(
     kept = version(old, F.col("valid_from"), F.col("valid_to"), 1)
     closed = version(old, F.col("valid_from"), F.date_sub(as_of, 1), 0)
     opened = version(new, as_of, open_end, 1)
+    # A version that began on the same day never held for a day: the new one takes its place.
+    corrected = version(new, F.col("valid_from"), open_end, 1)
     rows = (
         F.when(added, F.array(opened))
+        .when(changed & (F.col("valid_from") >= as_of), F.array(corrected))
         .when(changed, F.array(closed, opened))
         .otherwise(F.array(kept))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaymill.functions.numbers import money_sum, percentage
-from assaymill.runtime import settled
+from assaymill.runtime import dealt
 
 
 def with_group_value(
@@ -24,7 +24,7 @@ def with_group_value(
     same = F.lit(True)
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_k_{g}"))
-    return df.join(settled(totals), same).drop(*[f"_k_{g}" for g in group])
+    return df.join(dealt(totals), same).drop(*[f"_k_{g}" for g in group])
 
 
 def share_of_group(

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaymill.runtime import settled
+from assaymill.runtime import dealt
 
 
 def star_join(
@@ -102,18 +102,12 @@ def count_from(df: DataFrame, other: DataFrame, key: str, name: str) -> DataFram
 def flag_orphans(lines: DataFrame, key: str, parents: DataFrame, flag: str) -> DataFrame:
     """``flag`` = 1 where ``key`` has no parent, NULL keys included. Rows are kept.
 
-    Looks for the orphan keys first, over the key column alone, and marks the
-    lines with them. Orphans are few in a sound feed, so the wide lines are
-    usually not shuffled; when they are many, a heavy key is split.
+    One left join with the distinct parent keys and a marker: the lines are read once,
+    a small parent is broadcast, and a heavy key of a large one is split.
     """
-    used = lines.select(key).where(F.col(key).isNotNull()).distinct()
-    orphans = settled(used.join(parents.select(key), key, "left_anti"))
-    lost = F.col(key).isNull() | F.col("_lost").isNotNull()
-    return (
-        lines.join(orphans.withColumn("_lost", F.lit(1)), key, "left")
-        .withColumn(flag, lost.cast("int"))
-        .drop("_lost")
-    )
+    known = parents.select(F.col(key)).where(F.col(key).isNotNull()).distinct()
+    joined = lines.join(dealt(known).withColumn("_known", F.lit(1)), key, "left")
+    return joined.withColumn(flag, F.col("_known").isNull().cast("int")).select(*lines.columns, flag)
 
 
 def match_status(left: DataFrame, right: DataFrame, key: str, aggregates: Sequence[Column]):
@@ -136,7 +130,7 @@ def duplicate_pairs(df: DataFrame, key: Column, id_column: str, columns: Sequenc
              F.count("*").alias("_n"))
         .where("_n > 1")
     )
-    pairs = keyed.join(settled(first), "_key").where(F.col(id_column) > F.col(f"_first.{id_column}"))
+    pairs = keyed.join(dealt(first), "_key").where(F.col(id_column) > F.col(f"_first.{id_column}"))
     return pairs.select(
         F.col(f"_first.{id_column}").alias("orig_id"),
         *[F.col(f"_first.{c}").alias(f"orig_{c}") for c in columns],

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaymill.operators.ordered import row_numbers
-from assaymill.runtime import settled
+from assaymill.runtime import dealt
 
 
 def dedup_by_key(df: DataFrame, key: Column, order: Sequence[Column]) -> DataFrame:
@@ -24,7 +24,7 @@ def dedup_by_key(df: DataFrame, key: Column, order: Sequence[Column]) -> DataFra
 def duplicate_listing(df: DataFrame, key: Column, order: Sequence[Column]) -> DataFrame:
     """All rows whose key occurs more than once, numbered within their key."""
     keyed = df.withColumn("norm_key", key).where("norm_key <> ''")
-    repeated = settled(keyed.groupBy("norm_key").count().where("count > 1").select("norm_key"))
+    repeated = dealt(keyed.groupBy("norm_key").count().where("count > 1").select("norm_key"))
     return row_numbers(keyed.join(repeated, "norm_key"), ["norm_key"], order, "rn")
 
 
@@ -69,7 +69,7 @@ def flag_duplicates(df: DataFrame, key: str, flag: str) -> DataFrame:
     very common key never gathers its rows in one task.
     """
     counts = df.groupBy(F.col(key).alias("_key")).count()
-    repeated = settled(counts.where("count > 1").select("_key")).withColumn("_hit", F.lit(1))
+    repeated = dealt(counts.where("count > 1").select("_key")).withColumn("_hit", F.lit(1))
     return (
         df.join(repeated, F.col(key).eqNullSafe(F.col("_key")), "left")
         .withColumn(flag, F.col("_hit").isNotNull().cast("int"))

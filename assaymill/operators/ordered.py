@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assaymill.runtime import bounded, pinned, settled
+from assaymill.runtime import bounded, dealt, pinned
 
 
 def _slices(df: DataFrame, order: Sequence[Column]) -> DataFrame:
@@ -106,4 +106,4 @@ def ranks(
     for c in (*group, value):
         same = same & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
     wanted = [F.col(s).alias(n) for s, n in (("_rank", rank), ("_level", dense_rank)) if n]
-    return df.join(settled(keyed), same).select(*df.columns, *wanted)
+    return df.join(dealt(keyed), same).select(*df.columns, *wanted)

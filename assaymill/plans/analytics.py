@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaymill.functions import dates
-from assaymill.functions.numbers import exact_avg, money_sum, percentage
+from assaymill.functions.numbers import exact_avg, money_sum, product_sum, percentage
 
 
 def product_revenue(lines: DataFrame, products: DataFrame) -> DataFrame:
@@ -149,9 +149,10 @@ def category_breadth_tiers(
 def gross_margin_by_category(lines: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue minus units at today's cost; products without a cost are left out."""
     costed = products.where("unit_cost IS NOT NULL").select("product_id", "category", "unit_cost")
-    revenue = money_sum(F.col("net_amount"))
-    cost = money_sum(F.col("quantity") * F.col("unit_cost"))
-    return lines.join(costed, "product_id").groupBy("category").agg(
+    sold = lines.groupBy("product_id").agg(
+        money_sum(F.col("net_amount")).alias("net"), F.sum("quantity").alias("units"))
+    revenue, cost = money_sum(F.col("net")), product_sum(F.col("units") * F.col("unit_cost"))
+    return sold.join(costed, "product_id").groupBy("category").agg(
         revenue.alias("total_revenue"), cost.alias("total_cost"),
         F.round(revenue - cost, 2).alias("gross_margin"))
 

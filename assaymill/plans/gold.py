@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from assaymill.functions import dates
 from assaymill.functions.numbers import money_sum
 from assaymill.plans import silver
-from assaymill.runtime import bounded
 
 
 def dim_customer(customers: DataFrame) -> DataFrame:
@@ -52,10 +51,15 @@ def _line_totals() -> list[Column]:
     ]
 
 
+def _added() -> list[Column]:
+    """The same totals of rows that are totals themselves."""
+    return [F.sum(c).alias(c) for c in ("lines", "units", "cents")]
+
+
 def _by_period(daily: DataFrame, calendar: DataFrame, by: Sequence[str]) -> DataFrame:
     """Day totals to calendar periods; days outside the calendar and NULL dates drop out."""
     parts = [c for c in by if c in calendar.columns]
-    return daily.join(bounded(calendar.select("datekey", *parts)), "datekey").groupBy(*by).agg(
+    return daily.join(calendar.select("datekey", *parts), "datekey").groupBy(*by).agg(
         F.sum("lines").alias("order_line_count"),
         F.sum("units").alias("total_quantity"),
         (F.sum("cents") / 100).alias("total_net_amount"),
@@ -68,14 +72,16 @@ def rollup(
     """Lines, units and net sales by calendar parts and dimension attributes.
 
     Each dimension is ``(frame, key)``; unmatched keys drop out, and only the key
-    and the attributes in ``by`` are read from it. Lines first combine to days, in
-    each task before the shuffle, so only day totals meet the calendar.
+    and the attributes in ``by`` are read from it. Lines first combine to day and key, in
+    each task before the shuffle, so only those totals meet a dimension or the calendar.
     """
-    joined = fact
-    for dim, key in dims:
-        joined = joined.join(dim.select(key, *[c for c in by if c in dim.columns]), key)
+    keys = [key for _, key in dims]
     attributes = [c for c in by if c not in calendar.columns]
-    daily = joined.groupBy("datekey", *attributes).agg(*_line_totals())
+    own = [c for c in attributes if c in fact.columns and c not in keys]
+    joined = fact.groupBy("datekey", *keys, *own).agg(*_line_totals())
+    for dim, key in dims:
+        joined = joined.join(dim.select(key, *[c for c in by if c in dim.columns and c != key]), key)
+    daily = joined.groupBy("datekey", *attributes).agg(*_added())
     return _by_period(daily, calendar, by)
 
 
@@ -89,10 +95,12 @@ def sales_by_attributes(
 
     ``attributes`` maps a column to the key of its dimension, or None for the
     fact's own columns. A line counts for an attribute only where its dimension
-    row exists. Lines fan out to one row per attribute inside the task and
-    combine there before the shuffle.
+    row exists. Lines combine to day, keys and own columns before they meet a dimension;
+    these totals fan out to one row per attribute and combine again.
     """
-    joined = fact
+    keys = dict.fromkeys(key for _, key in dims)
+    own = [name for name, key in attributes.items() if key is None and name not in keys]
+    joined = fact.groupBy("datekey", *keys, *own).agg(*_line_totals())
     for dim, key in dims:
         joined = joined.join(dim.withColumn(f"_has_{key}", F.lit(True)), key, "left")
     members = [
@@ -101,8 +109,8 @@ def sales_by_attributes(
         for name, key in attributes.items()
     ]
     fanned = joined.select(
-        "datekey", "quantity", "net_amount", F.inline(F.array_compact(F.array(*members))))
-    daily = fanned.groupBy("datekey", "dimension", "member").agg(*_line_totals())
+        "datekey", "lines", "units", "cents", F.inline(F.array_compact(F.array(*members))))
+    daily = fanned.groupBy("datekey", "dimension", "member").agg(*_added())
     return _by_period(daily, calendar, ["dimension", "member", "year"])
 
 

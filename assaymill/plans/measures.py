@@ -12,15 +12,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assaymill.functions.numbers import money_sum, safe_ratio
+from assaymill.functions.numbers import money_sum, product_sum, safe_ratio
 
 def _sums() -> dict[str, Column]:
     q = F.col("quantity")
     return {
-        "_gross": money_sum(q * F.col("unit_price")),
+        "_gross": product_sum(q * F.col("unit_price")),
         "_net": money_sum(F.col("net_amount")),
         "_units": F.sum("quantity"),
-        "_cogs": money_sum(q * F.col("unit_cost")),
+        "_cogs": product_sum(q * F.col("unit_cost")),
     }
 
 

@@ -63,7 +63,10 @@ def silver_employees(bronze: DataFrame) -> DataFrame:
 
 
 def silver_calendar(bronze: DataFrame) -> DataFrame:
-    return bronze.select("datekey", "date")
+    day = F.col("date")
+    if dict(bronze.dtypes)["date"] == "string":
+        day = dates.parse_mixed_date(day)
+    return bronze.select("datekey", day.alias("date"))
 
 
 def price_lines(lines: DataFrame) -> DataFrame:

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_MADE: list[str] = []  # folders named by this process
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
@@ -29,7 +33,9 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def new_scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
 
 
 def pinned(df: DataFrame) -> DataFrame:
@@ -38,27 +44,34 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-# Up to this many narrow rows, a few megabytes, a computed side is broadcast.
-BROADCAST_ROWS = 100_000
-
-
-def settled(df: DataFrame) -> DataFrame:
+def dealt(df: DataFrame) -> DataFrame:
     """A computed, narrow side (keys, counts) that will be joined with many uneven rows.
 
-    It is pinned, then counted: if it is small the other side need not be shuffled
-    at all, so it is marked for broadcast. If not, the join shuffles both inputs,
-    and because the pinned side comes without an aggregate on top, the skew-join
-    rule recognises the join and splits heavy keys.
+    An aggregate that feeds a join straight away leaves it no exchange of its own, and then
+    Spark can neither split a heavy key of the other side nor swap the join for a
+    broadcast once it knows the real bytes. Dealing the few columns out again gives it both
+    choices at run time; nothing is computed or counted before the query runs.
     """
-    kept = pinned(df)
-    return F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def bounded(df: DataFrame) -> DataFrame:
     """Broadcast hint for a side whose row count has a fixed bound.
 
-    Only for: lookup literals, calendars, the few lines of a report, and at most
-    two rows per shuffle partition. Other sides get no hint and Spark decides by
-    their size, or they are counted first, see ``settled``.
+    Only for: lookup literals, the few lines of a report, and at most two rows per
+    shuffle partition. Other sides get no hint and Spark decides by their size.
     """
     return F.broadcast(df)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes, on leaving, every folder that ``new_scratch_path`` has named inside."""
+    before = len(_MADE)
+    try:
+        yield
+    finally:
+        for path in _MADE[before:]:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        del _MADE[before:]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def create_or_replace(
@@ -34,11 +35,15 @@ def create_if_absent(df: DataFrame, path: str) -> DataFrame:
 
 
 def insert_select(df: DataFrame, path: str) -> DataFrame:
-    """Append by column name; columns the target lacks are dropped, missing ones become NULL."""
+    """Append by column name; columns the target lacks are dropped, missing ones become NULL.
+
+    Values take the target's types, so that all files of the table agree; one that does
+    not fit fails the job before anything is added.
+    """
     target = df.sparkSession.read.parquet(path)
-    aligned = target.limit(0).unionByName(
-        df.select(*[c for c in target.columns if c in df.columns]), allowMissingColumns=True
-    )
+    aligned = df.select(*[
+        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in target.schema.fields])
     aligned.write.mode("append").parquet(path)
     return df.sparkSession.read.schema(target.schema).parquet(path)
 

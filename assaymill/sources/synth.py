@@ -33,7 +33,7 @@ ORPHAN_ID_OFFSET = 2 * 10**12
 
 def pick(options: Sequence[str], key: Column) -> Column:
     """Option number ``key`` modulo the number of options."""
-    values = F.split(F.lit("|".join(options)), r"\|")
+    values = F.array(*[F.lit(x) for x in options])
     return F.element_at(values, (key % len(options)).cast("int") + 1)
 
 

@@ -57,25 +57,34 @@ def segment_orders(t):
     return analytics.segment_orders(t.customers, t.headers)
 
 
-@query("frequency_tiers", sql(f"""
-    SELECT COALESCE(customer_segment, 'Unknown') AS customer_segment,
-           CASE WHEN n = 0 THEN 'No Orders' WHEN n <= 8 THEN 'Light (1-8 orders)' WHEN n <= 14 THEN 'Regular (9-14 orders)'
-                ELSE 'Frequent (15+ orders)' END AS frequency_tier,
-           COUNT(*) AS num_customers, {rnd("SUM(n) / COUNT(*)")} AS avg_orders
-    FROM (SELECT c.customer_id, customer_segment, COUNT(h.order_id) AS n
-          FROM cust c LEFT JOIN headers h ON h.customer_id = c.customer_id GROUP BY 1, 2) GROUP BY 1, 2"""))
+# The labels of the tiers, each with its least and greatest count.
+FREQUENCY = [("No Orders", 0, 0), ("Light (1-8 orders)", 1, 8), ("Regular (9-14 orders)", 9, 14),
+             ("Frequent (15+ orders)", 15, None)]
+BREADTH = [("No Purchases", 0, 0), ("Narrow (1-2 categories)", 1, 2), ("Moderate (3-4 categories)", 3, 4),
+           ("Broad (5+ categories)", 5, None)]
+
+
+def _tiers(per_customer: str, bounds: list, tier: str, average: str) -> str:
+    """Customers by segment and tier: a table of bounds, met by range."""
+    rows = ", ".join(f"('{label}', {low}, {'NULL' if high is None else high})" for label, low, high in bounds)
+    return sql(f"""
+    SELECT COALESCE(customer_segment, 'Unknown') AS customer_segment, label AS {tier},
+           COUNT(*) AS num_customers, {rnd("SUM(n) / COUNT(*)")} AS {average}
+    FROM counted JOIN bounds ON n >= low AND n <= COALESCE(high, n) GROUP BY ALL""",
+               counted=per_customer, bounds=f"SELECT * FROM (VALUES {rows}) AS v(label, low, high)")
+
+
+@query("frequency_tiers", _tiers("""
+    SELECT customer_segment, (SELECT COUNT(order_id) FROM headers h WHERE h.customer_id = c.customer_id) AS n
+    FROM cust c""", FREQUENCY, "frequency_tier", "avg_orders"))
 def frequency_tiers(t):
     return analytics.frequency_tiers(t.customers, t.headers)
 
 
-@query("category_breadth_tiers", sql(f"""
-    SELECT COALESCE(customer_segment, 'Unknown') AS customer_segment,
-           CASE WHEN n = 0 THEN 'No Purchases' WHEN n <= 2 THEN 'Narrow (1-2 categories)' WHEN n <= 4 THEN 'Moderate (3-4 categories)'
-                ELSE 'Broad (5+ categories)' END AS breadth_tier,
-           COUNT(*) AS num_customers, {rnd("SUM(n) / COUNT(*)")} AS avg_categories
-    FROM (SELECT c.customer_id, customer_segment, COUNT(DISTINCT category) AS n FROM cust c
-          LEFT JOIN fact f ON f.customer_id = c.customer_id LEFT JOIN prod p ON p.product_id = f.product_id
-          GROUP BY 1, 2) GROUP BY 1, 2"""))
+@query("category_breadth_tiers", _tiers("""
+    SELECT customer_segment, COALESCE(k, 0) AS n FROM cust LEFT JOIN (
+      SELECT customer_id, COUNT(DISTINCT category) AS k FROM fact JOIN prod USING (product_id) GROUP BY customer_id)
+    USING (customer_id)""", BREADTH, "breadth_tier", "avg_categories"))
 def category_breadth_tiers(t):
     return analytics.category_breadth_tiers(t.customers, t.fact, t.products)
 
@@ -108,12 +117,11 @@ def ship_before_order(t):
 
 @query("exclusive_channel_customers", sql("""
     SELECT customer_id, full_name, MIN(f.channel) AS only_channel
-    FROM cust c JOIN fact f USING (customer_id) WHERE f.discount_pct >= 0.3::DOUBLE
+    FROM cust c JOIN fact f USING (customer_id)
     GROUP BY customer_id, full_name HAVING COUNT(DISTINCT f.channel) = 1"""))
 def exclusive_channel_customers(t):
-    """Customers whose deepest-discount purchases all went through one channel."""
-    deals = t.fact.where("discount_pct >= 0.3D").select("customer_id", "channel")
-    return analytics.exclusive_channel_customers(t.customers, deals)
+    """Customers all of whose purchases went through one channel, whichever it is."""
+    return analytics.exclusive_channel_customers(t.customers, t.fact)
 
 
 @query("weekend_signups", sql("""

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from assaymill.functions.numbers import money_sum
 from assaymill.plans import bi
 from assaymill.plans.measures import measures, prior_year
-from assaymill.runtime import bounded
 from catalog.model_sql import esum, isum, sql
 from catalog.registry import query
 
@@ -41,7 +40,7 @@ def _model(t, *attributes: str):
     if len(goods.columns) > 1:
         out = out.join(goods, "product_id", "left")
     if len(days.columns) > 1:
-        out = out.join(bounded(days), "datekey", "left")
+        out = out.join(days, "datekey", "left")
     return out
 
 
@@ -85,14 +84,15 @@ FROM_DAY, TO_DAY = dt.date(1997, 1, 1), dt.date(1999, 12, 31)
 
 
 @query("visual_queries", sql(f"""
-    SELECT product_name, category, brand, {NET} AS total_net_revenue, {ORDERS} AS total_orders, {margin()} AS gross_margin
-    FROM model WHERE date BETWEEN DATE '{FROM_DAY}' AND DATE '{TO_DAY}' GROUP BY product_name, category, brand""", model=MODEL))
+    SELECT product_name, category, brand, {NET} AS total_net_revenue, {isum('quantity')} AS total_units_sold,
+           {ORDERS} AS total_orders, {margin()} AS gross_margin
+    FROM model GROUP BY product_name, category, brand""", model=MODEL))
 def visual_queries(t):
-    """Product ranking table behind a date-range slicer."""
+    """Product ranking table, over all dates."""
     return measures(
         _model(t, "product_name", "category", "brand", "unit_cost"),
-        ["total_net_revenue", "total_orders", "gross_margin"], ["product_name", "category", "brand"],
-        F.col("order_date").between(FROM_DAY, TO_DAY))
+        ["total_net_revenue", "total_units_sold", "total_orders", "gross_margin"],
+        ["product_name", "category", "brand"])
 
 
 @query("visual_category_bar", sql(f"""

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from assaymill.functions import dates, text
-from assaymill.functions.numbers import fix_discount_pct, money_sum
+from assaymill.functions.numbers import money_sum
 from assaymill.operators import joins
 from assaymill.plans import gold, silver
-from assaymill.runtime import bounded, pinned, settled
-from catalog.model_sql import FIXED, datekey, esum, sql
+from assaymill.runtime import pinned
+from catalog.model_sql import datekey, esum, sql
 from catalog.registry import query
 
 
@@ -27,7 +27,7 @@ def inner_join(t):
     JOIN emp e ON e.employee_id = f.employee_id JOIN cal d ON d.datekey = f.datekey"""))
 def multi_way_star_join(t):
     dims = [
-        (bounded(t.calendar.select("datekey", "year", "month_name")), "datekey"),
+        (t.calendar.select("datekey", "year", "month_name"), "datekey"),
         (t.employees.select("employee_id", F.col("full_name").alias("rep_name")), "employee_id"),
         (t.products.select("product_id", "product_name"), "product_id"),
         (t.customers.select("customer_id", F.col("full_name").alias("customer_name")), "customer_id"),
@@ -158,34 +158,36 @@ def role_playing_date_join(t):
                              dates.date_key(F.col("ship_date")).alias("datekey"))
     days = t.calendar.select("datekey", F.col("day_name").alias("ship_day_name"),
                              F.col("quarter").alias("ship_quarter"))
-    return shipped.join(bounded(days), "datekey").drop("datekey")
+    return shipped.join(days, "datekey").drop("datekey")
+
+
+def _per_line_sql(table: str, layer: str, where: str = "") -> str:
+    return (f"SELECT order_id, order_line_id, COUNT(*) AS {layer}_lines, MAX(discount_pct) AS {layer}_discount "
+            f"FROM {table} {where} GROUP BY 1, 2")
 
 
 @query("recon_join_layers", sql(f"""
-    SELECT b.order_id, b.order_line_id, b.product_id, b.quantity, b.ship_date AS bronze_ship_date,
-           b.discount_pct AS bronze_discount, s.discount_pct AS silver_discount, f.discount_pct AS gold_discount
-    FROM (SELECT *, count(*) OVER k AS n FROM bronze_sales WINDOW k AS (PARTITION BY order_id, order_line_id)) b
-    JOIN (SELECT *, {FIXED} AS fixed FROM sales_feed) x USING (order_id, order_line_id)
-    JOIN fact s USING (order_id, order_line_id) JOIN fact f USING (order_id, order_line_id)
-    WHERE b.n = 1 AND b.discount_pct > 1"""))
+    SELECT b.*, silver_lines, silver_discount, gold_lines, gold_discount
+    FROM ({_per_line_sql('bronze_sales', 'bronze')}) b
+    LEFT JOIN ({_per_line_sql('silver_sales', 'silver')}) s USING (order_id, order_line_id)
+    LEFT JOIN ({_per_line_sql('flagged_fact', 'gold')}) g USING (order_id, order_line_id)
+    WHERE bronze_discount > 1"""))
 def recon_join_layers(t):
-    """The whole-number discounts as each layer shows them, where the line key is unique."""
+    """Line keys with whole-number discounts, as the three layers of one build show them.
+
+    A line key may repeat, so each layer is counted per key before the layers meet:
+    a line that a layer lost or repeated shows in the counts.
+    """
+    lines = silver.silver_sales(t.bronze_sales, t.bronze_customers, t.bronze_products)
     grain = ["order_id", "order_line_id"]
-    bronze = t.bronze_sales.select(
-        *grain, "product_id", "quantity", F.col("ship_date").alias("bronze_ship_date"),
-        F.col("discount_pct").alias("bronze_discount"))
-    unique = t.raw("lineitem").groupBy(
-        F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("order_line_id")
-    ).count().where("count = 1").select(*grain)
-    unique = settled(unique)
-    fixed = fix_discount_pct(F.col("discount_pct"))
-    silver_rows = t.sales_feed.select(*grain, fixed.alias("silver_discount"))
-    gold_rows = gold.fact_sales(silver.price_lines(t.sales_feed)).select(
-        *grain, F.col("discount_pct").alias("gold_discount"))
-    return (
-        bronze.where("bronze_discount > 1").join(unique, grain)
-        .join(silver_rows, grain).join(gold_rows, grain)
-    )
+
+    def per_line(df, layer):
+        return df.groupBy(*grain).agg(
+            F.count("*").alias(f"{layer}_lines"), F.max("discount_pct").alias(f"{layer}_discount"))
+
+    bronze = per_line(t.bronze_sales, "bronze").where("bronze_discount > 1")
+    return bronze.join(per_line(lines, "silver"), grain, "left").join(
+        per_line(gold.fact_sales(lines), "gold"), grain, "left")
 
 
 @query("join_match_counts", sql(f"""

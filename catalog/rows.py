@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from catalog.model_sql import sql
@@ -53,12 +51,17 @@ def filter_in_list(t):
     ).select("customer_id", "customer_segment", "state")
 
 
+def _midnight(day: str):
+    """A literal without a zone, like the stored column: no session zone shifts the comparison."""
+    return F.lit(f"{day} 00:00:00").cast("timestamp_ntz")
+
+
 @query("filter_between", """
     SELECT o_orderkey, o_custkey, o_totalprice FROM orders
     WHERE o_orderdate BETWEEN DATE '1996-01-01' AND DATE '1996-12-31' AND o_totalprice BETWEEN 100000 AND 300000""")
 def filter_between(t):
     return t.raw("orders").where(
-        F.col("o_orderdate").between(dt.datetime(1996, 1, 1), dt.datetime(1996, 12, 31))
+        F.col("o_orderdate").between(_midnight("1996-01-01"), _midnight("1996-12-31"))
         & F.col("o_totalprice").between(100000, 300000)
     ).select("o_orderkey", "o_custkey", "o_totalprice")
 
@@ -99,7 +102,7 @@ def filter_date_range_sargable(t):
     """Half-open range on the stored column, so row groups outside 1997 are skipped."""
     day = F.col("o_orderdate")
     return t.raw("orders").where(
-        (day >= dt.datetime(1997, 1, 1)) & (day < dt.datetime(1998, 1, 1))
+        (day >= _midnight("1997-01-01")) & (day < _midnight("1998-01-01"))
     ).select("o_orderkey", "o_totalprice")
 
 

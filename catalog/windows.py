@@ -9,7 +9,7 @@ from assaymill.functions.numbers import money_sum
 from assaymill.functions.text import normalized_key
 from assaymill.operators import groups, joins, keys, ordered, windows
 from assaymill.plans import analytics, gold
-from assaymill.runtime import pinned, settled
+from assaymill.runtime import dealt, pinned
 from catalog.model_sql import rnd, sql
 from catalog.registry import query
 
@@ -244,7 +244,7 @@ def dedup_impact(t):
     """Keeping the latest sign-up drops the earlier rows, the ones that have orders."""
     key, _ = _email_key()
     newest = [-F.unix_date("signup_date"), F.col("customer_id")]
-    losers = settled(keys.dedup_losers(t.customers, key, newest, "customer_id"))
+    losers = dealt(keys.dedup_losers(t.customers, key, newest, "customer_id"))
     lost = joins.semi_join(t.fact.select("customer_id", "order_id"), losers, "customer_id")
     per_customer = lost.groupBy("customer_id").agg(F.count("*").alias("n"))
     return per_customer.agg(

@@ -3,7 +3,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from assaymill import runtime
 from assaymill.operators import joins, keys, ordered
 
 SPLIT_EARLY = {
@@ -25,12 +24,6 @@ def lines(spark):
         spark.conf.unset(name)
 
 
-@pytest.fixture(autouse=True)
-def no_small_sides(monkeypatch):
-    """As if every computed side were too large to broadcast."""
-    monkeypatch.setattr(runtime, "BROADCAST_ROWS", -1)
-
-
 @pytest.fixture(scope="module")
 def parents(spark):
     # Every key twice, so a careless join would repeat lines.
@@ -49,13 +42,13 @@ def test_orphan_flag(lines, parents):
     assert sum(r.orphan for r in rows) == sum(1 for i in range(90000) if i % 3 and i % 5000 >= 4500)
 
 
-def test_few_orphans_leave_the_lines_unshuffled(lines, parents, monkeypatch):
-    monkeypatch.setattr(runtime, "BROADCAST_ROWS", 100_000)
-    flagged = joins.flag_orphans(lines, "k", parents, "orphan")
+def test_flags_start_no_job_and_read_the_lines_once(spark, lines, parents):
+    spark.sparkContext.setJobGroup("building", "")
+    flagged = joins.flag_orphans(joins.flag_orphans(lines, "k", parents, "a"), "k", parents, "b")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     plan = flagged._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
-    assert flagged.where("orphan = 1").count() == sum(
-        1 for i in range(90000) if i % 3 and i % 5000 >= 4500)
+    assert plan.count("Range (0, 90000") == 1
 
 
 def test_star_join(lines, parents):
