@@ -13,10 +13,11 @@ text of a large group of copies. Document frequencies cover all texts; they are
 hashed bin, less the median bin, which stands for chance meetings.
 
 Texts whose words are the same are one node from the start. Within a bucket the nodes are
-sorted by their next samples and only neighbours become candidates, so a bucket of n
-nodes gives n - 1 candidates however large it is; the sort is a range partitioning, so
-a bucket may span tasks. As neighbourhoods differ from band to band, a class holds
-together through many links. No bucket, group or list of partners is cut off.
+sorted by their next samples and those up to ``REACH`` places apart become candidates, so
+work is linear in a bucket however large it is; the sort is a range partitioning, so a
+bucket may span tasks. Direct neighbours are verified first; of the others only those that
+are not in one class by then. Buckets of up to ``REACH`` + 1 nodes are complete; in larger
+ones the order differs from band to band, and a class holds together through many links.
 
 Defined cases: null texts count as empty; texts of fewer than five words have their words
 as one shingle; texts without words are copies of each other if they are the same text.
@@ -47,6 +48,7 @@ BINS = 1 << 16
 COMMON = 0.1  # share of texts up to which a shingle has full weight
 LEAST_IDF = 0.1
 IDS = (1 << 48) - 1
+REACH = 6
 BLOCK = 1 << 16  # shingles sampled at a time
 
 
@@ -209,7 +211,7 @@ def signatures(docs: DataFrame, idf, doc_id: str = "doc_id", text: str = "text")
 
 
 def neighbours(nodes: DataFrame) -> DataFrame:
-    """Candidates (a, b), a < b: neighbours in some band's bucket.
+    """Candidates (a, b, step), a < b: at most ``REACH`` places apart in some band's bucket.
 
     ``nodes`` has ``id`` and ``sample``.
     """
@@ -227,38 +229,53 @@ def neighbours(nodes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key.view(np.int64)), pa.array(order.view(np.int64)), pa.array(ids)], ["bucket", "next", "id"])
 
-    def adjacent(batches):
-        first = last = None
+    def close(batches):
+        head: list[tuple[int, int]] = []
+        tail = np.zeros((0, 2), np.int64)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            bucket, ids = batch.column("bucket").to_numpy(), batch.column("id").to_numpy()
-            if last is not None:
-                bucket, ids = np.r_[last[0], bucket], np.r_[last[1], ids]
-            first = first or (int(bucket[0]), int(ids[0]))
-            last = int(bucket[-1]), int(ids[-1])
-            same = np.flatnonzero(bucket[1:] == bucket[:-1])
-            none = pa.nulls(len(same), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[same]), pa.array(ids[same + 1]), none, none, none], names)
-        if first is not None:
+            rows = np.c_[batch.column("bucket").to_numpy(), batch.column("id").to_numpy()]
+            head += [tuple(x) for x in rows[:REACH - len(head)].tolist()]
+            old, rows = len(tail), np.concatenate([tail, rows])
+            for step in range(1, REACH + 1):
+                # Pairs that end in this batch.
+                first = max(0, old - step)
+                left, right = rows[first:len(rows) - step], rows[first + step:]
+                same = left[:, 0] == right[:, 0]
+                n = int(same.sum())
+                if n:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(left[same, 1]), pa.array(right[same, 1]), pa.array(np.full(n, step, np.int64)),
+                         *[pa.nulls(n, pa.int64())] * 3], names)
+            tail = rows[-REACH:]
+        if head:
             from pyspark import TaskContext
 
             part = TaskContext.get().partitionId()
+            ends = [*((part, i, *x) for i, x in enumerate(head)), *((part, REACH + i, *x) for i, x in enumerate(tail.tolist()))]
+            columns = list(zip(*ends))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x], pa.int64()) for x in (first[1], last[1], first[0], last[0], part)], names)
+                [pa.array(columns[3], pa.int64()), pa.nulls(len(ends), pa.int64()), pa.nulls(len(ends), pa.int64()),
+                 *[pa.array(c, pa.int64()) for c in columns[:3]]], names)
 
-    names = ["a", "b", "first", "last", "part"]
+    names = ["a", "b", "step", "part", "place", "bucket"]
     banded = nodes.select("id", "sample").mapInArrow(bands, "bucket bigint, next bigint, id bigint")
     dealt = banded.repartitionByRange("bucket", "next", "id").sortWithinPartitions("bucket", "next", "id")
-    found = stored(dealt.mapInArrow(adjacent, ", ".join(f"{n} bigint" for n in names)), "neighbours")
-    # Where a bucket crosses from one partition into the next; one row for each partition.
-    ends = found.where("part is not null").select("part", "a", "b", "first", "last").orderBy("part").collect()
-    crossing = [(x.b, y.a) for x, y in zip(ends, ends[1:]) if x.last == y.first]
-    pairs = found.where("part is null").select("a", "b")
+    found = stored(dealt.mapInArrow(close, ", ".join(f"{n} bigint" for n in names)), "neighbours")
+    # Where a bucket crosses from one partition into the next: at most 2 * REACH rows of each.
+    ends: dict[int, list[list[tuple[int, int]]]] = {}
+    for r in found.where("part is not null").orderBy("part", "place").collect():
+        ends.setdefault(r.part, [[], []])[r.place >= REACH].append((r.bucket, r.a))
+    crossing, before = [], []
+    for head, tail in ends.values():
+        for i, (bucket, a) in enumerate(before):
+            crossing += [(a, b, len(before) - i + j) for j, (other, b) in enumerate(head)
+                         if other == bucket and len(before) - i + j <= REACH]
+        before = tail if len(tail) == REACH else (before + tail)[-REACH:]
+    pairs = found.where("part is null").select("a", "b", "step")
     if crossing:
-        pairs = pairs.unionByName(nodes.sparkSession.createDataFrame(crossing, "a bigint, b bigint"))
-    return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = pairs.unionByName(nodes.sparkSession.createDataFrame(crossing, "a bigint, b bigint, step bigint"))
+    return pairs.where("a <> b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
+        F.min("step").alias("step"))
 
 
 @dataclass(frozen=True)
@@ -285,19 +302,10 @@ def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least:
     agree = F.aggregate(F.zip_with("sa", "sb", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, p: s + p)
     likely = stored(
         pairs.join(left, "a").join(right, "b").where(agree >= int(ESTIMATE * ROWS * BANDS))
-        .select("a", "b", "x", "y"), "candidates")
+        .select("a", "b", "x", "y", "step"), "candidates")
 
-    # Both texts of each candidate meet under the candidate, not under a text.
-    wanted = likely.select("a", "b", F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), "x.*"), F.struct(F.lit(1).alias("side"), "y.*"))).alias("w")).select(
-        "a", "b", "w.side", F.col("w.doc_id").alias("of"), F.col("w.h").alias("of_h"))
     content = F.coalesce(F.col(text), F.lit(""))
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(content).alias("h"), content.alias("text"))
-    # Merged at every size, so that the plan for few candidates is the plan for many.
-    met = wanted.join(texts.hint("merge"), F.col("of").eqNullSafe(F.col("doc_id")) & (F.col("of_h") == F.col("h")))
-    both = met.groupBy("a", "b").agg(
-        F.first(F.when(F.col("side") == 0, F.col("text")), ignorenulls=True).alias("u"),
-        F.first(F.when(F.col("side") == 1, F.col("text")), ignorenulls=True).alias("v"))
 
     def verify(batches):
         for batch in batches:
@@ -305,8 +313,27 @@ def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least:
                     for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist())]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    links = both.mapInArrow(verify, "a bigint, b bigint")
+    def verified(candidates: DataFrame) -> DataFrame:
+        # Both texts of each candidate meet under the candidate, not under a text.
+        wanted = candidates.select("a", "b", F.explode(F.array(
+            F.struct(F.lit(0).alias("side"), "x.*"), F.struct(F.lit(1).alias("side"), "y.*"))).alias("w")).select(
+            "a", "b", "w.side", F.col("w.doc_id").alias("of"), F.col("w.h").alias("of_h"))
+        # Merged at every size, so that the plan for few candidates is the plan for many.
+        met = wanted.join(texts.hint("merge"), F.col("of").eqNullSafe(F.col("doc_id")) & (F.col("of_h") == F.col("h")))
+        both = met.groupBy("a", "b").agg(
+            F.first(F.when(F.col("side") == 0, F.col("text")), ignorenulls=True).alias("u"),
+            F.first(F.when(F.col("side") == 1, F.col("text")), ignorenulls=True).alias("v"))
+        return stored(both.mapInArrow(verify, "a bigint, b bigint"), "verified")
+
+    links = verified(likely.where("step = 1"))
     labels = components(links)
+    of_a = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+    of_b = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    apart = likely.where("step > 1").join(of_a, "a", "left").join(of_b, "b", "left").where(
+        F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b", "x", "y")
+    more = verified(apart)
+    if not more.isEmpty():
+        labels = components(links.unionByName(more))
     placed = stored(nodes.join(labels, nodes.id == labels.node, "left").select(
         "id", nodes.node, "doc_id", "h", "n", F.coalesce("label", "id").alias("label")), "placed")
     first = placed.groupBy("label").agg(
