@@ -18,8 +18,9 @@ from __future__ import annotations
 import calendar
 import hashlib
 import hmac
+import math
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import cached_property
 
 import pyarrow as pa
@@ -45,6 +46,30 @@ SHAPES = re.compile(r"""(?x)
     r"\d{4}([-/.])", r"\d{4}(?P<_y>[-/.])").replace(r"\d{1,2}([-/.])", r"\d{1,2}(?P<_d>[-/.])"))
 
 
+# Every shape has a digit or an @; around them it reaches no further than this.
+TRIGGER = re.compile(r"[0-9]+|@")
+BEFORE, AFTER, LOCAL = 6, 48, 66
+DOMAIN = re.compile(r"[A-Za-z0-9.-]*")
+
+
+def _places(text: str) -> Iterator[tuple[int, int]]:
+    """The stretches of a text that can hold a value, apart from each other and in order."""
+    low = high = -1
+    for m in TRIGGER.finditer(text):
+        if m[0] == "@":
+            first, last = m.start() - LOCAL, DOMAIN.match(text, m.end()).end() + 1
+        else:
+            first, last = m.start() - BEFORE, m.end() + AFTER
+        first = max(0, first)
+        if first > high:
+            if high >= 0:
+                yield low, high
+            low = first
+        low, high = min(low, first), max(high, last)
+    if high >= 0:
+        yield low, high
+
+
 def luhn(digits: str) -> int:
     """The sum modulo 10 that is 0 for a valid number."""
     total = 0
@@ -77,9 +102,7 @@ class Pseudonyms:
         """A keyed permutation of range(size); ``sign`` -1 undoes it."""
         if size < 2:
             return value
-        a = 1
-        while a * a < size:
-            a += max(1, a // 64) if a * a * 1.05 < size else 1
+        a = math.isqrt(size - 1) + 1
         b = -(-size // a)  # value = left * b + right, left below a, right below b
         tweak = f"{tweak}|{size}"
         while True:
@@ -201,18 +224,18 @@ class Pseudonyms:
     def replace(self, text: str, sign: int = 1) -> tuple[str, dict[str, int]]:
         """The text with every valid value replaced, and how many of each kind there were."""
         counts = dict.fromkeys(KINDS, 0)
-
-        def one(m: re.Match) -> str:
-            kind = m.lastgroup
-            new = self._kinds[kind](m[kind], sign)
-            if new is None and kind != "card" and (other := SHAPES_CARD.fullmatch(m[0])):
-                kind, new = "card", self._card(other[0], sign)
-            if new is None:
-                return m[0]
-            counts[kind] += 1
-            return new
-
-        return SHAPES.sub(one, text), counts
+        out, done = [], 0
+        for low, high in _places(text):
+            for m in SHAPES.finditer(text, low, high):
+                kind, value = m.lastgroup, m[0]
+                new = self._kinds[kind](value, sign) if value.isascii() else None
+                if new is None and kind != "card" and value.isascii() and SHAPES_CARD.fullmatch(value):
+                    kind, new = "card", self._card(value, sign)
+                if new is not None:
+                    counts[kind] += 1
+                    out += text[done:m.start()], new
+                    done = m.end()
+        return "".join((*out, text[done:])), counts
 
     def undo(self, text: str) -> str:
         return self.replace(text, -1)[0]
