@@ -14,7 +14,7 @@ from assaymill.sources.schemas import BRONZE_SCHEMAS
 from assaymill.sources.tables import inline_values as literal_table
 from assaymill.sources.tables import scan_table as scan
 from assaymill.sources.tables import typed_extract as extract
-from catalog.model_sql import DUP, q, sql
+from catalog.model_sql import DUP, esum, q, sql
 from catalog.registry import query
 
 
@@ -163,6 +163,40 @@ def run_medallion(t):
     return quality.stacked([quality.row_count(df, name) for name, df in layers.items()])
 
 
+BUILT = {
+    "agg_monthly_sales_by_category": (
+        "monthly", ["year", "month", "month_name", "category", "total_quantity"], "total_net_amount"),
+    "agg_customer_ltv": (
+        "ltv", ["customer_id", "full_name", "customer_segment", "state", "order_count",
+                "first_order_date", "last_order_date"], "lifetime_net_amount"),
+    "agg_daily_sales": (
+        "every_day", ["order_date", "year", "month", "day_name", "is_weekend"], "total_net_amount"),
+}
+EVERY_DAY = f"""
+    SELECT date AS order_date, year, month, day_name, is_weekend, COUNT(order_line_id) AS order_line_count,
+           COALESCE({esum('net_amount')}, 0) AS total_net_amount
+    FROM cal LEFT JOIN fact USING (datekey) GROUP BY ALL"""
+
+
+@query("build_from_raw_text", sql(" UNION ALL ".join(
+    f"SELECT {q(layer)} AS layer, concat_ws('|', {', '.join(named)}) AS described, order_line_count, {amount} AS net_amount"
+    f" FROM {source}" for layer, (source, named, amount) in BUILT.items()), every_day=EVERY_DAY))
+def build_from_raw_text(t):
+    """All five raw tables written, read by their declared schemas and built; the whole content of the rollups."""
+    bronze = {}
+    for name, df in t.bronze.items():
+        schema = BRONZE_SCHEMAS[name]
+        path = new_scratch_path(t.spark, name)
+        sinks.create_or_replace(df.select(*[F.col(f.name).cast(f.dataType) for f in schema]), path)
+        bronze[name] = scan(t.spark, path, schema=schema)
+    layers = build_layers(bronze, new_scratch_path(t.spark, "layers"))
+    return quality.stacked([
+        layers[layer].select(
+            F.lit(layer).alias("layer"), F.concat_ws("|", *[F.col(c).cast("string") for c in named]).alias("described"),
+            "order_line_count", F.col(amount).alias("net_amount"))
+        for layer, (_, named, amount) in BUILT.items()])
+
+
 @query("export_csv", sql("SELECT * FROM daily"))
 def export_csv(t):
     return sinks.export_csv(t.daily, new_scratch_path(t.spark, "daily-csv"))

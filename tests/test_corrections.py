@@ -84,3 +84,14 @@ def test_rollups_shrink_before_they_meet_products(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.rindex("HashAggregate") > plan.rindex("SortMergeJoin"), "no aggregate below the joins"
     assert [r.order_line_count for r in out.collect()] == [1000]
+
+
+@pytest.mark.parametrize("name,order", [
+    ("sort_multi", "customer_segment NULLS FIRST, signup_date DESC NULLS LAST, customer_id"),
+    ("order_by_case", "list_position(['Completed', 'Returned', 'Cancelled'], status) NULLS LAST"),
+])
+def test_sorted_queries_return_their_order(spark, con, sf_dir, name, order):
+    df = QUERIES[name](spark, sf_dir)
+    columns = ", ".join(df.columns)
+    expected = con.execute(f"SELECT {columns} FROM ({ORACLES[name]}) ORDER BY {order}").fetchall()
+    assert len(expected) > 1 and [tuple(r) for r in df.collect()] == expected
