@@ -75,7 +75,8 @@ def constraint_violations(
     """Violating rows per constraint as (constraint_name, violations).
 
     NOT NULL and CHECK are counted together in one pass; a CHECK that yields
-    NULL passes. UNIQUE counts surplus rows and ignores NULL.
+    NULL passes. UNIQUE counts surplus rows and ignores NULL. FOREIGN KEY ignores NULL
+    and counts rows per key before the anti join, so a heavy key is one row there.
     """
     row_rules = {f"NOT NULL {c}": F.col(c).isNull() for c in not_null}
     row_rules |= {f"CHECK {n}": ~c for n, c in (checks or {}).items()}
@@ -89,10 +90,11 @@ def constraint_violations(
             F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("actual"),
         ))
     for key, parent in (foreign or {}).items():
-        lost = df.select(key).where(F.col(key).isNotNull()).join(
-            parent.select(key), key, "left_anti")
+        counted = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_lines"))
+        lost = counted.join(parent.select(key), key, "left_anti")
         parts.append(lost.agg(
-            F.lit(f"FOREIGN KEY {key}").alias("check_name"), F.count("*").alias("actual")))
+            F.lit(f"FOREIGN KEY {key}").alias("check_name"),
+            F.coalesce(F.sum("_lines"), F.lit(0)).alias("actual")))
     return stacked(parts).withColumnsRenamed(
         {"check_name": "constraint_name", "actual": "violations"})
 
