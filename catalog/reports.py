@@ -109,6 +109,8 @@ CHECKS = [
     ("dim_date rows", "SELECT date_diff('day', make_date(year(min(o_orderdate)), 1, 1), make_date(year(max(o_orderdate)), 12, 31)) + 1 FROM orders", "SELECT COUNT(*) FROM cal"),
     ("fact_sales rows", "SELECT COUNT(*) FROM lineitem", "SELECT COUNT(*) FROM fact"),
     ("repeated line keys", "SELECT 0", "SELECT COUNT(*) FROM (SELECT order_id FROM lines GROUP BY order_id, order_line_id HAVING COUNT(*) > 1)"),
+    ("near-duplicate customers", "SELECT COUNT(*) FROM customer WHERE c_custkey % 20 = 0",
+     "SELECT COUNT(e) - COUNT(DISTINCT e) FROM (SELECT lower(trim(email)) AS e FROM bronze_customers) WHERE e <> ''"),
 ]
 # Counters without an expectation: of each table its rules, in one pass.
 COUNTED = {
@@ -179,9 +181,15 @@ def build_validation(t):
         .when(given.isin("bronze_sales rows", "fact_sales rows"), lines_given)
         .when(given == "dim_date rows", span)
         .when(given == "repeated line keys", F.lit(0).cast("long"))
+        .when(given == "near-duplicate customers", t.raw("customer").where("c_custkey % 20 = 0").agg(F.count("*")).scalar())
     )
+    # Surplus rows with the same address once case and outer spaces are ignored.
+    addresses = customers.select(text.normalized_key(F.col("email")).alias("address")).where("address <> ''")
+    near = addresses.groupBy("address").count().agg(
+        F.lit("near-duplicate customers").alias("check_name"),
+        F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("actual"))
     counted = quality.stacked(
-        [quality.unpivot_counters(quality.counters(df, rules)) for df, rules in passes])
+        [*(quality.unpivot_counters(quality.counters(df, rules)) for df, rules in passes), near])
     return counted.withColumn("expected", expected).withColumn(
         "ok", (F.col("expected") == F.col("actual")).cast("int"))
 
