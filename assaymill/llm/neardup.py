@@ -16,8 +16,11 @@ Texts whose words are the same are one node from the start. Within a bucket the
 sorted by their next samples and those up to ``REACH`` places apart become candidates, so
 work is linear in a bucket however large it is; the sort is a range partitioning, so a
 bucket may span tasks. Direct neighbours are verified first; of the others only those that
-are not in one class by then. Buckets of up to ``REACH`` + 1 nodes are complete; in larger
-ones the order differs from band to band, and a class holds together through many links.
+are not in one class by then. Buckets of up to ``REACH`` + 1 nodes are complete. The nodes of
+larger ones also meet by their rarest shingles: two texts of similarity t share one of the
+first shingles, rare ones first, that hold 1 - t of the larger text's weight and
+1 - 2t / (1 + t) of the smaller one's. That finds every pair which is still in two
+classes; passages that a whole bucket quotes stand behind the rare shingles and join nothing.
 
 Defined cases: null texts count as empty; texts of fewer than five words have their words
 as one shingle; texts without words are copies of each other if they are the same text.
@@ -33,7 +36,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaymill.llm.common import small_batches, stored, text_groups
@@ -49,6 +52,9 @@ COMMON = 0.1  # share of texts up to which a shingle has full weight
 LEAST_IDF = 0.1
 IDS = (1 << 48) - 1
 REACH = 6
+ALIKE = 0.4  # as ``ESTIMATE``, for pairs that share a rare shingle: 7 standard errors below
+SKETCH = 23  # least number of samples that agree in their last two bits: 7 standard errors below SIMILARITY
+SIZES = np.log(1.25) / 4  # step between classes of weight, in logarithms
 BLOCK = 1 << 16  # shingles sampled at a time
 
 
@@ -162,8 +168,8 @@ def similarity(a: list[bytes], b: list[bytes], idf: np.ndarray) -> float:
     return float(shared / total) if total else 0.0
 
 
-def idf_table(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """The weight of each hashed bin of shingles, from the document frequencies over all texts."""
+def frequencies(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, float]:
+    """Of all texts: those with a shingle in each hashed bin, and the number of texts with words."""
     def run(batches):
         sums, seen = np.zeros(BINS, np.int64), 0
         for batch in batches:
@@ -178,11 +184,20 @@ def idf_table(docs: DataFrame, text: str = "text") -> np.ndarray:
         .groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
     sums = np.zeros(BINS + 1)
     sums[counted["bin"].to_numpy()] = counted["n"].to_numpy()  # -1, the last, has the number of texts
-    total, sums = max(1.0, sums[-1]), sums[:-1]
+    return sums[:-1], sums[-1]
+
+
+def idf_of(sums: np.ndarray, total: float) -> np.ndarray:
+    total = max(1.0, total)
     share = np.clip((sums - np.median(sums)) / total, 1 / total, 1)
     return np.clip(np.log(share) / np.log(COMMON), LEAST_IDF, 1).astype(np.float64)
 
 
+def idf_table(docs: DataFrame, text: str = "text") -> np.ndarray:
+    """The weight of each hashed bin of shingles, from the document frequencies over all texts."""
+    return idf_of(*frequencies(docs, text))
+
+
 def signatures(docs: DataFrame, idf, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, h (of the text), node (128 bits of the words), sample (array of int)."""
     content = F.coalesce(F.col(text), F.lit(""))
@@ -210,11 +225,13 @@ def signatures(docs: DataFrame, idf, doc_id: str = "doc_id", text: str = "text")
     return rows.mapInArrow(run, f"doc_id {kind}, h bigint, node binary, worded boolean, sample array<int>")
 
 
-def neighbours(nodes: DataFrame) -> DataFrame:
-    """Candidates (a, b, step), a < b: at most ``REACH`` places apart in some band's bucket.
+def neighbours(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Candidates (a, b, step), a < b: at most ``REACH`` places apart in some band's bucket; crowded ids.
 
-    ``nodes`` has ``id`` and ``sample``.
+    ``nodes`` has ``id`` and ``sample``. Ids are crowded in a bucket of more than ``REACH`` + 1.
     """
+    edge = REACH + 1
+
     def bands(batches):
         for batch in batches:
             ids = batch.column("id").to_numpy()
@@ -234,7 +251,7 @@ def neighbours(nodes: DataFrame) -> DataFrame:
         tail = np.zeros((0, 2), np.int64)
         for batch in batches:
             rows = np.c_[batch.column("bucket").to_numpy(), batch.column("id").to_numpy()]
-            head += [tuple(x) for x in rows[:REACH - len(head)].tolist()]
+            head += [tuple(x) for x in rows[:edge - len(head)].tolist()]
             old, rows = len(tail), np.concatenate([tail, rows])
             for step in range(1, REACH + 1):
                 # Pairs that end in this batch.
@@ -246,12 +263,16 @@ def neighbours(nodes: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(left[same, 1]), pa.array(right[same, 1]), pa.array(np.full(n, step, np.int64)),
                          *[pa.nulls(n, pa.int64())] * 3], names)
-            tail = rows[-REACH:]
+            full = np.flatnonzero(rows[:len(rows) - edge, 0] == rows[edge:, 0])
+            if len(full):
+                crowd = np.unique(rows[(full[:, None] + np.arange(edge + 1)).reshape(-1), 1])
+                yield pa.RecordBatch.from_arrays([pa.array(crowd), *[pa.nulls(len(crowd), pa.int64())] * 5], names)
+            tail = rows[-edge:]
         if head:
             from pyspark import TaskContext
 
             part = TaskContext.get().partitionId()
-            ends = [*((part, i, *x) for i, x in enumerate(head)), *((part, REACH + i, *x) for i, x in enumerate(tail.tolist()))]
+            ends = [*((part, i, *x) for i, x in enumerate(head)), *((part, edge + i, *x) for i, x in enumerate(tail.tolist()))]
             columns = list(zip(*ends))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[3], pa.int64()), pa.nulls(len(ends), pa.int64()), pa.nulls(len(ends), pa.int64()),
@@ -261,21 +282,131 @@ def neighbours(nodes: DataFrame) -> DataFrame:
     banded = nodes.select("id", "sample").mapInArrow(bands, "bucket bigint, next bigint, id bigint")
     dealt = banded.repartitionByRange("bucket", "next", "id").sortWithinPartitions("bucket", "next", "id")
     found = stored(dealt.mapInArrow(close, ", ".join(f"{n} bigint" for n in names)), "neighbours")
-    # Where a bucket crosses from one partition into the next: at most 2 * REACH rows of each.
+    # Where a bucket crosses from one partition into the next: at most 2 * edge rows of each.
     ends: dict[int, list[list[tuple[int, int]]]] = {}
     for r in found.where("part is not null").orderBy("part", "place").collect():
-        ends.setdefault(r.part, [[], []])[r.place >= REACH].append((r.bucket, r.a))
-    crossing, before = [], []
+        ends.setdefault(r.part, [[], []])[r.place >= edge].append((r.bucket, r.a))
+    crossing, crowd, before = [], [], []
     for head, tail in ends.values():
         for i, (bucket, a) in enumerate(before):
             crossing += [(a, b, len(before) - i + j) for j, (other, b) in enumerate(head)
                          if other == bucket and len(before) - i + j <= REACH]
-        before = tail if len(tail) == REACH else (before + tail)[-REACH:]
-    pairs = found.where("part is null").select("a", "b", "step")
+        around = before + head
+        for i in range(len(around) - edge):
+            if around[i][0] == around[i + edge][0]:
+                crowd += [(a,) for _, a in around[i:i + edge + 1]]
+        before = tail if len(tail) == edge else (before + tail)[-edge:]
+    pairs = found.where("part is null and b is not null").select("a", "b", "step")
+    crowded = found.where("part is null and b is null").select("a")
+    if crowd:
+        crowded = crowded.unionByName(nodes.sparkSession.createDataFrame(sorted(set(crowd)), "a bigint"))
     if crossing:
         pairs = pairs.unionByName(nodes.sparkSession.createDataFrame(crossing, "a bigint, b bigint, step bigint"))
-    return pairs.where("a <> b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
+    pairs = pairs.where("a <> b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
         F.min("step").alias("step"))
+    return pairs, crowded.select(F.col("a").alias("id")).distinct()
+
+
+def rare_entries(owner: np.ndarray, ids: np.ndarray, weights: np.ndarray, sums: np.ndarray, texts: int,
+                 least: float) -> tuple[np.ndarray, ...]:
+    """owner, key, weight of the text, weight from the shingle on, and whether the entry probes.
+
+    Shingles stand in the order of ``sums``, rare ones first. A text is found under those
+    before which less than 1 - 2t / (1 + t) of its weight stands, and looks among texts of its
+    weight or less with those before which less than 1 - t stands. The key holds the shingle
+    and the class of weight; a text looks only in classes that can still reach t from there.
+    """
+    order = np.lexsort((ids, sums[_bin(ids)], owner))
+    owner, ids, weights = owner[order], ids[order], weights[order]
+    whole = np.bincount(owner, weights, texts)
+    rest = whole[owner] - (np.cumsum(weights) - weights - (np.cumsum(whole) - whole)[owner])
+    all_, slack = whole[owner], 1 - 1e-9
+    found = np.flatnonzero(rest >= 2 * least / (1 + least) * all_ * slack)
+    looks = np.flatnonzero(rest >= least * all_ * slack)
+
+    def size(weight: np.ndarray) -> np.ndarray:
+        return np.floor(np.log(weight) / SIZES).astype(np.int64)
+
+    low = size(least * all_[looks] * slack)
+    high = size(np.minimum(all_, rest * (1 + least) / least - all_)[looks] / slack)
+    times = np.maximum(high - low, 0) + 1
+    looks, low = np.repeat(looks, times), np.repeat(low, times)
+    low += np.arange(len(low)) - np.repeat(np.cumsum(times) - times, times)
+    at, sizes = np.r_[found, looks], np.r_[size(all_[found]), low]
+    keys = _mixed(ids[at] ^ _mixed(sizes.view(np.uint64), 0x2545F491))
+    return owner[at], keys.view(np.int64), all_[at], rest[at], np.arange(len(at)) >= len(found)
+
+
+def sketches(sample: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The last two bits of each text's samples, as two numbers."""
+    half = ROWS * BANDS // 2
+    bits = (sample.reshape(-1, 2, half) & 3).astype(np.int64) << (2 * np.arange(half))
+    both = bits.sum(axis=2)
+    return both[:, 0], both[:, 1]
+
+
+def _agreeing(a: str, b: str) -> Column:
+    """How many of the two-bit fields of two sketches are equal."""
+    apart = F.col(a).bitwiseXOR(F.col(b))
+    fields = F.lit(sum(1 << 2 * i for i in range(ROWS * BANDS // 2)))
+    return F.lit(ROWS * BANDS // 2) - F.bit_count(apart.bitwiseOR(F.shiftright(apart, 1)).bitwiseAND(fields))
+
+
+def by_rare_shingles(texts: DataFrame, idf, sums, least: float) -> DataFrame:
+    """Candidates (a, b, la, lb), a < b, of different labels: all pairs that can have similarity ``least``.
+
+    ``texts`` has ``id``, ``label``, ``sample`` and ``text``.
+    """
+    def entries(batches):
+        last = None
+        for batch in batches:
+            ids, labels = batch.column("id").to_numpy(), batch.column("label").to_numpy()
+            again = np.r_[last is not None and ids[0] == last, ids[1:] == ids[:-1]] if len(ids) else np.zeros(0, bool)
+            if len(ids):
+                last = ids[-1]
+            one, two = sketches(batch.column("sample").flatten().to_numpy().reshape(len(ids), -1))
+            for start, some in text_groups(batch.column("text")):
+                words = [[] if again[start + i] else words_of(t) for i, t in enumerate(some)]
+                owner, shingle, times = shingles(words)
+                of, key, whole, rest, probes = rare_entries(
+                    owner, shingle, weigh(shingle, times, idf.value), sums.value, len(some), least)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key), pa.array(ids[start + of]), pa.array(labels[start + of]), pa.array(whole),
+                     pa.array(rest), pa.array(probes), pa.array(one[start + of]), pa.array(two[start + of])], names)
+
+    def shared(batches):
+        # Of the sorted entries those whose key has two labels; a run at the end of a batch is kept.
+        for batch in batches:
+            key, label = batch.column("key").to_numpy(), batch.column("label").to_numpy()
+            if not len(key):
+                continue
+            starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            several = np.minimum.reduceat(label, starts) < np.maximum.reduceat(label, starts)
+            several[[0, -1]] = True
+            yield batch.filter(pa.array(np.repeat(several, np.diff(np.r_[starts, len(key)]))))
+
+    names = ["key", "id", "label", "whole", "rest", "probes", "one", "two"]
+    kinds = "key bigint, id bigint, label bigint, whole double, rest double, probes boolean, one bigint, two bigint"
+    listed = stored(texts.mapInArrow(entries, kinds), "rare")
+    kept = stored(listed.repartitionByRange("key", "label", "id").sortWithinPartitions("key", "label", "id")
+                  .mapInArrow(shared, kinds), "rare_shared")
+    # Pairs inside the label that holds most of a key are never formed.
+    most = kept.groupBy("key", "label").agg(F.count("*").alias("n"), F.max("probes").alias("p"), F.min("probes").alias("f")) \
+        .groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.count("*").alias("labels"),
+                            F.max("p").alias("p"), F.min("f").alias("f")) \
+        .where("labels > 1 and p and not f").select("key", "most")
+    kept = stored(kept.join(most.hint("merge"), "key").withColumn("main", F.col("label") == F.col("most")).drop("most"), "rare_main")
+    found, looks = kept.where("not probes").alias("f"), kept.where("probes").alias("l")
+    bound = (F.col("f.whole") + F.col("l.whole")) * (least / (1 + least) * (1 - 1e-9))
+    meet = (F.col("f.key") == F.col("l.key")) & (F.col("f.label") != F.col("l.label")) \
+        & (F.col("f.whole") <= F.col("l.whole") * (1 + 1e-9)) & (F.least("f.rest", "l.rest") >= bound) \
+        & (_agreeing("f.one", "l.one") + _agreeing("f.two", "l.two") >= SKETCH)
+    pairs = [f.alias("f").join(l.alias("l").hint("merge"), meet).select(
+        F.least("f.id", "l.id").alias("a"), F.greatest("f.id", "l.id").alias("b"),
+        F.when(F.col("f.id") < F.col("l.id"), F.col("f.label")).otherwise(F.col("l.label")).alias("la"),
+        F.when(F.col("f.id") < F.col("l.id"), F.col("l.label")).otherwise(F.col("f.label")).alias("lb"))
+        for f, l in ((found.where("not main"), looks), (found.where("main"), looks.where("not main")))]
+    return pairs[0].unionByName(pairs[1]).distinct()
 
 
 @dataclass(frozen=True)
@@ -288,7 +419,8 @@ def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least:
     """The class of every document: the id of its first document (by id, then by a hash of the text)."""
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(idf_table(docs, text))
+    sums, total = frequencies(docs, text)
+    shared, rarity = (spark.sparkContext.broadcast(x) for x in (idf_of(sums, total), sums))
     signed = stored(signatures(docs, shared, doc_id, text), "signatures")
     nodes = stored(
         signed.groupBy("node").agg(F.min(F.struct("doc_id", "h")).alias("head"), F.first("worded").alias("worded"),
@@ -296,7 +428,7 @@ def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least:
         .select(F.monotonically_increasing_id().alias("id"), "node", "head.*", "worded", "sample", "n"), "nodes")
 
     worded = nodes.where("worded")
-    pairs = neighbours(worded)
+    pairs, crowded = neighbours(worded)
     left = worded.select(F.col("id").alias("a"), F.struct("doc_id", "h").alias("x"), F.col("sample").alias("sa"))
     right = worded.select(F.col("id").alias("b"), F.struct("doc_id", "h").alias("y"), F.col("sample").alias("sb"))
     agree = F.aggregate(F.zip_with("sa", "sb", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, p: s + p)
@@ -333,7 +465,33 @@ def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least:
         F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b", "x", "y")
     more = verified(apart)
     if not more.isEmpty():
-        labels = components(links.unionByName(more))
+        links = links.unionByName(more)
+        labels = components(links)
+
+    if not crowded.isEmpty():
+        label = labels.select(F.col("node").alias("id"), "label")
+        heads = worded.join(crowded.hint("merge"), "id").join(label.hint("merge"), "id", "left").select(
+            "id", F.coalesce("label", "id").alias("label"), F.col("doc_id").alias("of"), F.col("h").alias("of_h"), "sample")
+        met = heads.join(texts.hint("merge"), F.col("of").eqNullSafe(F.col("doc_id")) & (F.col("of_h") == F.col("h")))
+        pairs = by_rare_shingles(met.select("id", "label", "sample", "text"), shared, rarity, least)
+        alike = stored(
+            pairs.join(left, "a").join(right, "b").where(agree >= int(ALIKE * ROWS * BANDS))
+            .select("a", "b", "la", "lb", "x", "y", agree.alias("agree")), "alike")
+        # The likeliest pair of every two classes first; the others where it has not joined them.
+        two = [F.least("la", "lb"), F.greatest("la", "lb")]
+        first = alike.groupBy(*(c.alias(n) for c, n in zip(two, ("la", "lb")))).agg(
+            F.max_by(F.struct("a", "b", "x", "y"), F.struct("agree", "a", "b")).alias("pair")).select("pair.*")
+        more = verified(first)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            labels = components(links)
+        of_a = labels.select(F.col("node").alias("a"), F.col("label").alias("na"))
+        of_b = labels.select(F.col("node").alias("b"), F.col("label").alias("nb"))
+        rest = alike.join(of_a, "a", "left").join(of_b, "b", "left").where(
+            F.coalesce("na", "a") != F.coalesce("nb", "b")).select("a", "b", "x", "y")
+        more = verified(rest.join(first.select("a", "b"), ["a", "b"], "left_anti"))
+        if not more.isEmpty():
+            labels = components(links.unionByName(more))
     placed = stored(nodes.join(labels, nodes.id == labels.node, "left").select(
         "id", nodes.node, "doc_id", "h", "n", F.coalesce("label", "id").alias("label")), "placed")
     first = placed.groupBy("label").agg(

@@ -200,6 +200,28 @@ def test_classes_equal_brute_force(spark):
     assert sorted(r.doc_id for r in neardup.deduplicate(docs).collect()) == sorted(set(label))
 
 
+def test_pairs_in_a_crowded_bucket(spark):
+    # Different texts on one passage, 0.73 alike, under a tenth of all; every 50th has a partner above 0.8.
+    def own(n, seed):
+        r = random.Random(seed)
+        return [f"w{r.randrange(10**6)}" for _ in range(n)]
+
+    passage, texts, partner = own(120, 1), {}, {}
+    for i in range(1500):
+        texts[i] = passage + own(21, 10 + i)
+        if i % 50 == 0:
+            partner[i] = 2000 + i
+            texts[2000 + i] = passage + texts[i][120:126] + own(15, 10**5 + i)
+    fill = {10**4 + i: own(6, 10**6 + i) for i in range(15_500)}
+    words = {i: [w.encode() for w in t] for i, t in texts.items()}
+    flat = np.ones(neardup.BINS)
+    assert all(0.8 <= neardup.similarity(words[i], words[j], flat) < 0.81 for i, j in partner.items())
+    assert max(neardup.similarity(words[0], words[j], flat) for j in range(1, 1500)) < 0.75
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in (texts | fill).items()], "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()}
+    assert {i: c for i, c in got.items() if c != i} == {j: i for i, j in partner.items()}
+
+
 def test_samples_estimate_the_similarity():
     rng = random.Random(5)
     a = prose(4000, 6).split()
