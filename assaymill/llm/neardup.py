@@ -7,9 +7,9 @@ similarity. Texts with equal samples in a whole band are candidates, candidates
 verified by their exact weighted Jaccard similarity, and verified links form
 classes.
 
-``idf`` is 1 for shingles in up to a tenth of the texts and falls with the logarithm of
-the share of texts beyond that: it plays down what everybody quotes, but not the
-text of a large group of copies. Document frequencies cover all texts; they are kept per
+``idf`` is 1 for shingles in up to half of the texts, or up to ``FEW`` texts, and falls with
+the logarithm of the share of texts beyond that: it plays down what everybody quotes, but
+not the text of a group of copies that holds a third of all rows. Document frequencies cover all texts; they are kept per
 hashed bin, less the median bin, which stands for chance meetings.
 
 Texts whose words are the same are one node from the start. Within a bucket the nodes are
@@ -48,7 +48,8 @@ ROWS, BANDS = 4, 12
 SIMILARITY = 0.8
 ESTIMATE = 0.6  # candidates whose samples agree less are 3.5 standard errors below SIMILARITY
 BINS = 1 << 16
-COMMON = 0.1  # share of texts up to which a shingle has full weight
+COMMON = 0.5  # share of texts up to which a shingle has full weight
+FEW = 500  # texts up to which a shingle has full weight, however few there are in all
 LEAST_IDF = 0.1
 IDS = (1 << 48) - 1
 REACH = 6
@@ -188,7 +189,7 @@ def frequencies(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, float]
 
 
 def idf_of(sums: np.ndarray, total: float) -> np.ndarray:
-    total = max(1.0, total)
+    total = max(FEW / COMMON, total)
     share = np.clip((sums - np.median(sums)) / total, 1 / total, 1)
     return np.clip(np.log(share) / np.log(COMMON), LEAST_IDF, 1).astype(np.float64)
 

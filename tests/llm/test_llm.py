@@ -222,6 +222,24 @@ def test_pairs_in_a_crowded_bucket(spark):
     assert {i: c for i, c in got.items() if c != i} == {j: i for i, j in partner.items()}
 
 
+def test_near_copies_in_a_group_of_a_third(spark):
+    # Of 2,400 texts a third are copies of one; its near copies are linked by their plain similarity.
+    base = prose(200, 30).split()
+    rows, edited = [" ".join(base)] * 800, []
+    for n in (17, 14, 11):  # new words at the end: 196 shingles of 196 + n each
+        edited.append(" ".join(base[:200 - n] + [f"x{n}y{i}" for i in range(n)]))
+    rows += edited + [prose(12, 5000 + i) for i in range(1597)]
+    flat, words = np.ones(neardup.BINS), [decontaminate.words_of(t) for t in (rows[0], *edited)]
+    assert all(0.8 <= neardup.similarity(words[0], w, flat) <= 0.9 for w in words[1:])
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    idf = neardup.idf_table(docs)
+    assert all(neardup.similarity(words[0], w, idf) >= 0.8 for w in words[1:])
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()}
+    assert {i for i, c in got.items() if c == 0} == set(range(803))
+    two = spark.createDataFrame([(1, rows[0]), (2, edited[2])], "doc_id long, text string")
+    assert {r.class_id for r in neardup.near_duplicates(two).collect()} == {1}
+
+
 def test_samples_estimate_the_similarity():
     rng = random.Random(5)
     a = prose(4000, 6).split()
