@@ -335,6 +335,27 @@ def test_pseudonyms_keep_format_and_links():
     assert new.endswith("1234567890123456 2021-02-30")
 
 
+def test_values_followed_by_other_groups():
+    own = pseudonyms.Pseudonyms(b"key")
+    visa, amex, iban = "4111 1111 1111 1111", "3782 822463 10005", "BE68 5390 0754 7034"
+    alone = {v: own.replace(v)[0] for v in (visa, amex, iban)}
+    for value, after in [(v, a) for v in alone for a in (" 123", " 12/27", " 2024", " 0123", " 1234 5678", " 01/02/2027", " EUR", " PAID", ", 7")]:
+        new, counts = own.replace(value + after)
+        assert new.startswith(alone[value]) and alone[value] != value and own.undo(new) == value + after, (value, after, new)
+    assert own.replace(visa.replace(" ", "-") + "-2024-01")[0] == alone[visa].replace(" ", "-") + "-2024-01"
+    assert own.replace("12 " + visa)[0] == "12 " + alone[visa]
+    assert own.replace("123-" + visa + " 078-05-1120")[1] | {} == {**dict.fromkeys(pseudonyms.KINDS, 0), "card": 1, "ssn": 1}
+    # A card of 19 digits is still read whole, in one group or five.
+    for number in ("6212345678901234569", "6200000000000000003"):
+        digits = number[:18] + str(-pseudonyms.luhn(number[:18] + "0") % 10)
+        if pseudonyms.luhn(digits[:16]):
+            grouped = " ".join(digits[i:i + 4] for i in range(0, 19, 4))
+            new = own.replace(grouped)[0]
+            assert new.replace(" ", "") == own.replace(digits)[0] != digits and own.undo(new) == grouped
+    long = "+44 20 7946 0958 2024 1234"
+    assert own.replace(long)[1]["phone"] == 1 and own.undo(own.replace(long)[0]) == long
+
+
 def test_permutation_of_a_domain():
     own = pseudonyms.Pseudonyms(b"key")
     for size in (2, 3, 10, 97, 1000):
