@@ -4,7 +4,12 @@ Pass one looks at each block alone: its length, the share of stop words, the sha
 its characters inside links, and where it stands in the markup. It decides a block as
 text or boilerplate or leaves it open. Pass two gives open blocks the label of the nearest
 decided neighbours. Inside a marked article a block is never decided as boilerplate
-for few stop words alone; it stays open and follows its neighbours there.
+for few stop words alone; it stays open and follows its neighbours there. A lone block of
+links decides only itself there, and where nothing is decided as text, open blocks are kept.
+
+The part of the page (its main element, each article, or the rest) that holds most decided
+text says where the text is. The other parts add what is decided as text: an article beside
+the main text counts whole if it has any such block and as a teaser if it has none.
 
 Defined cases: a null or empty page gives an empty text; unclosed, misnested and cut-off
 markup is read as far as it goes; repeated rows each get their own result; columns other
@@ -14,6 +19,7 @@ than ``page_id``, ``url`` and ``html`` are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 from html import unescape
 
@@ -76,6 +82,7 @@ class Block:
     text: str
     linked: float  # share of characters inside links
     zone: int  # 0: anywhere, 1: in main, 2: in an article
+    article: int  # which article of the page, from 1; 0: none
     dropped: bool  # the markup says it is no text of the article
 
 
@@ -104,8 +111,9 @@ def _purpose(name: str, attrs: str, zone: int) -> tuple[bool, bool, int]:
 def blocks(html: str) -> list[Block]:
     """The blocks of a page in page order, white space made single, empty ones left out."""
     out: list[Block] = []
-    # name, dropped, comments, zone, inside a link
-    stack: list[tuple[str, bool, bool, int, bool]] = [("", False, False, 0, False)]
+    # name, dropped, comments, zone, inside a link, article
+    stack: list[tuple[str, bool, bool, int, bool, int]] = [("", False, False, 0, False, 0)]
+    articles = 0
     parts: list[str] = []
     linked = 0
 
@@ -113,8 +121,8 @@ def blocks(html: str) -> list[Block]:
         nonlocal linked
         text = " ".join(unescape("".join(parts)).split())
         if text:
-            _, dropped, _, zone, _ = stack[-1]
-            out.append(Block(text, min(1.0, linked / len(text)), zone, dropped))
+            _, dropped, _, zone, _, article = stack[-1]
+            out.append(Block(text, min(1.0, linked / len(text)), zone, article, dropped))
         parts.clear()
         linked = 0
 
@@ -143,12 +151,14 @@ def blocks(html: str) -> list[Block]:
         for sibling in (CLOSED_BY_SIBLING.get(name), {"p"} if name in BLOCKS else None):
             if sibling and stack[-1][0] in sibling:
                 stack.pop()
-        above, dropped, talk, zone, link = stack[-1]
+        above, dropped, talk, zone, link, article = stack[-1]
         own, own_talk, zone = _purpose(name, token["attrs"], zone)
+        if zone == 2 and not article:
+            article = articles = articles + 1
         if dropped and not talk and not own and name in ("article", "main") and \
                 any(x[0] in ("form", "nav", "header") and x[1] for x in stack):
             dropped = False  # an unclosed menu or a form around the page
-        stack.append((name, dropped or own, talk or own_talk, zone, link or name == "a"))
+        stack.append((name, dropped or own, talk or own_talk, zone, link or name == "a", article))
     parts.append(html[at:])
     flush()
     return out
@@ -169,16 +179,50 @@ def _first_pass(block: Block, stop_words: frozenset[str]) -> bool | None:
     return False
 
 
+def _taking_part(found: list[Block], labels: list[bool | None]) -> tuple[int, list[Block], list[bool | None]]:
+    """Of a page that marks main or articles: the zone with the text, the blocks that take part, their labels."""
+    text: Counter[tuple[int, int]] = Counter()  # decided as text, by zone and article
+    free: Counter[tuple[int, int]] = Counter()  # not decided as boilerplate
+    for block, label in zip(found, labels):
+        if label is not False:
+            free[block.zone, block.article] += len(block.text)
+            if label:
+                text[block.zone, block.article] += len(block.text)
+    marked = Counter({k: n for k, n in free.items() if k[0]})
+    if text:
+        # Text outside of all marks counts where it is more than all the marked text.
+        inside = Counter({k: n for k, n in text.items() if k[0]})
+        outside = text.total() - inside.total()
+        lead = 0 if outside > inside.total() else max(inside, key=lambda k: (inside[k], k))[0]
+    else:
+        lead = max(marked, key=lambda k: (marked[k], k))[0] if marked else max(b.zone for b in found if not b.dropped)
+
+    def takes_part(block: Block, label: bool | None) -> bool:
+        if block.dropped:
+            return lead == 0 and block.zone == 0
+        if block.zone == lead:
+            return True
+        if block.zone == 2:
+            return (2, block.article) in text
+        return label is True and (block.zone == 1 or lead == 0)
+
+    kept = [i for i, (b, x) in enumerate(zip(found, labels)) if takes_part(b, x)]
+    return lead, [found[i] for i in kept], [labels[i] for i in kept]
+
+
 def main_text(html: str | None, stop_words: frozenset[str] = STOP_WORDS) -> str:
     found = blocks(html or "")
-    zone = max((b.zone for b in found if not b.dropped), default=0)
-    # Where the page marks its article, only blocks in it take part and are neighbours.
-    found = [b for b in found if b.zone >= zone and not (zone and b.dropped)]
     labels = [_first_pass(b, stop_words) for b in found]
+    zone = max((b.zone for b in found if not b.dropped), default=0)
+    if zone:
+        zone, found, labels = _taking_part(found, labels)
     decided = [i for i, x in enumerate(labels) if x is not None]
+    if zone:
+        linked = [x is False for x in (None, *labels, None)]
+        decided = [i for i in decided if labels[i] or linked[i] or linked[i + 2]] if True in labels else []
     if not decided:
         default = bool(zone) or sum(len(b.text) for b in found) > LONG
-        return "\n".join(b.text for b in found if default)
+        return "\n".join(b.text for b, x in zip(found, labels) if default and x is not False)
     kept, after = [], 0
     for i, block in enumerate(found):
         while after < len(decided) and decided[after] < i:

@@ -147,6 +147,25 @@ def test_blocks_without_an_article():
     assert len(html.main_text("<p>" + "the of and " * 200_000)) == 200_000 * 11 - 1
 
 
+def test_teasers_beside_the_main_text():
+    text = ("It was the best of the times and the worst of the times in the city that he had to leave for the sea. " * 3).strip()
+    card = "<article class=card><h3>Another story</h3><p>What they saw on the way to the hills.</p></article>"
+    for page in (f"<main><h1>Title</h1><p>{text}</p><p>{text}</p>{card}</main>",
+                 f"<main><h1>Title</h1><p>{text}</p><p>{text}</p></main><div>{card * 3}</div>"):
+        assert html.main_text(page) == "\n".join(["Title", text, text])
+    assert html.main_text(f"<div><p>{text}</p><p>{text}</p></div>{card}") == "\n".join([text, text])
+    assert html.main_text(f"<main><p>{text}</p><article><p>{text}</p><p>Short.</p></article></main>") == "\n".join([text, text, "Short."])
+
+
+def test_a_link_in_an_article_of_open_blocks():
+    lines = ["Nel mezzo del cammin di nostra vita", "mi ritrovai per una selva oscura", "che la diritta via era smarrita"]
+    page = "<article>" + "".join(f"<p>{x}</p>" for x in lines) + "<p><a href=/x>Tutto il canto</a></p></article>"
+    assert html.main_text(page) == "\n".join(lines)
+    long = "Acqua farina sale lievito zucchero burro uova latte " * 6
+    both = f"<article><p>{long}</p><p><a href=/a>Una</a></p><p><a href=/b>Due</a></p></article>"
+    assert html.main_text(both) == long.strip()
+
+
 # 3 Fingerprints
 
 def test_fingerprints_add_up(spark):
