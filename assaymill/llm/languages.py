@@ -11,6 +11,10 @@ from the best single language b no mixture gains more than
 ``max over l of sum(p(word|l) / p(word|b) - 1)``. Where that bound is below the
 penalty of a second language, {b} is proven best.
 
+The score is the share of the first language times how sure the set is: one language against
+the other single ones, several against the best single one. A text is explained if its
+penalised likelihood under the set is above that of letters drawn from all trigram bins evenly.
+
 Memory: the model is ``languages x BINS`` floats, whatever the size of the corpus;
 texts are worked through in groups of bounded size.
 
@@ -66,9 +70,9 @@ def _slices(text: str) -> Iterator[str]:
     yield text
 
 
-def _words(texts: list[str | None], model: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log-likelihoods (words x languages) and the row of each word."""
-    parts, rows = [], []
+def _words(texts: list[str | None], model: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log-likelihoods (words x languages), and the row and the number of letters of each word."""
+    parts, rows, letters = [], [], []
     for i, j in groups([len(t or "") for t in texts]):
         if j - i == 1:
             pieces, owner = list(_slices(texts[i] or "")), None
@@ -85,11 +89,12 @@ def _words(texts: list[str | None], model: np.ndarray) -> tuple[np.ndarray, np.n
             if not first[0]:
                 starts = np.r_[0, starts]
             parts.append(np.add.reduceat(model[bins], starts, axis=0))
+            letters.append(np.diff(np.r_[starts, len(at)]))
             rows.append(np.full(len(starts), i) if owner is None else
                         i + np.searchsorted(owner, at[starts] - 1, side="right"))
     if not parts:
-        return np.zeros((0, model.shape[1]), np.float32), np.zeros(0, np.int64)
-    return np.concatenate(parts), np.concatenate(rows)
+        return np.zeros((0, model.shape[1]), np.float32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(parts), np.concatenate(rows), np.concatenate(letters)
 
 
 def _mixtures(loglik: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -121,12 +126,17 @@ def _mixtures(loglik: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.
 
 
 def infer(texts: list[str | None], model: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Proportions (rows x languages; all 0 without letters) and how sure the first language is."""
+    """Proportions (rows x languages; all 0 without letters) and how sure the set of languages is."""
+    return explain(texts, model)[:2]
+
+
+def explain(texts: list[str | None], model: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``infer``, and whether the set of languages explains the text."""
     langs = model.shape[1]
-    share, sure = np.zeros((len(texts), langs)), np.zeros(len(texts))
-    loglik, rows = _words(texts, model)
+    share, sure, explained = np.zeros((len(texts), langs)), np.zeros(len(texts)), np.zeros(len(texts), bool)
+    loglik, rows, letters = _words(texts, model)
     if not len(rows):
-        return share, sure
+        return share, sure, explained
     starts = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
     counts, docs = np.diff(np.r_[starts, len(rows)]), rows[starts]
     total = np.add.reduceat(loglik.astype(np.float64), starts, axis=0)
@@ -135,15 +145,24 @@ def infer(texts: list[str | None], model: np.ndarray) -> tuple[np.ndarray, np.nd
         loglik - loglik[np.arange(len(rows)), np.repeat(single, counts)][:, None], 60), dtype=np.float64)
     gain = (np.add.reduceat(relative, starts, axis=0) - counts[:, None]).max(axis=1)
     share[docs, single] = 1.0
+    scaled = np.exp(total - total.max(axis=1, keepdims=True))
+    scaled /= scaled.sum(axis=1, keepdims=True)
     open_ = np.flatnonzero(gain > 0.5 * np.log(counts))
+    fit, several = total.max(axis=1), np.zeros(len(docs), bool)
     if len(open_) and langs > 1:
-        keep = np.isin(np.repeat(np.arange(len(docs)), counts), open_)
+        part = loglik[np.isin(np.repeat(np.arange(len(docs)), counts), open_)].astype(np.float64)
         own = counts[open_]
-        share[docs[open_]] = _mixtures(loglik[keep], np.r_[0, np.cumsum(own)[:-1]], own)
-    scaled = np.exp(total - total.max(axis=1, keepdims=True))
-    scaled /= scaled.sum(axis=1, keepdims=True)
-    sure[docs] = scaled[np.arange(len(docs)), share[docs].argmax(axis=1)]
-    return share, sure
+        first = np.r_[0, np.cumsum(own)[:-1]]
+        share[docs[open_]] = chosen = _mixtures(part, first, own)
+        peak = part.max(axis=1)
+        seen = np.log(np.maximum((np.exp(part - peak[:, None]) * np.repeat(chosen, own, axis=0)).sum(axis=1), 1e-300))
+        size = (chosen > 0).sum(axis=1)
+        several[open_] = size > 1
+        fit[open_] = np.add.reduceat(seen + peak, first) - 0.5 * (size - 1) * np.log(own)
+    sure[docs] = np.where(several, 1 / (1 + np.exp(np.clip(total.max(axis=1) - fit, -700, 700))),
+                          scaled[np.arange(len(docs)), share[docs].argmax(axis=1)])
+    explained[docs] = fit > -np.log(BINS) * np.add.reduceat(letters, starts)
+    return share, sure, explained
 
 
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list[str], np.ndarray]:
@@ -184,7 +203,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> tuple[
 
 
 def _predicted(frame: DataFrame, names: list[str], model: np.ndarray, carried: list[str], schema: str) -> DataFrame:
-    """``carried`` columns and lang_pred, score, n_langs; the text is in ``text`` or in ``row``."""
+    """``carried`` columns and lang_pred, score, n_langs, explained; the text is in ``text`` or in ``row``."""
     small_batches(frame.sparkSession)
     shared = frame.sparkSession.sparkContext.broadcast(model)
 
@@ -192,25 +211,28 @@ def _predicted(frame: DataFrame, names: list[str], model: np.ndarray, carried: l
         for batch in batches:
             column = batch.column("text") if "text" in batch.schema.names else batch.column("row").field("text")
             share, sure = np.zeros((batch.num_rows, max(1, len(names)))), np.zeros(batch.num_rows)
+            explained = np.zeros(batch.num_rows, bool)
             for at, texts in text_groups(column, 4 * GROUP_CHARS) if names else ():
-                share[at:at + len(texts)], sure[at:at + len(texts)] = infer(texts, shared.value)
+                own = slice(at, at + len(texts))
+                share[own], sure[own], explained[own] = explain(texts, shared.value)
             top, peak = share.argmax(axis=1), share.max(axis=1)
             labels = [names[k] if p > 0 else UNKNOWN for k, p in zip(top, peak)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in carried), pa.array(labels, pa.string()),
-                 pa.array(np.clip(peak * sure, 0, 1)), pa.array((share > 0.01).sum(axis=1).astype(np.int32))],
-                [*carried, "lang_pred", "score", "n_langs"])
+                 pa.array(np.clip(peak * sure, 0, 1)), pa.array((share > 0.01).sum(axis=1).astype(np.int32)),
+                 pa.array(explained)],
+                [*carried, "lang_pred", "score", "n_langs", "explained"])
 
-    return frame.mapInArrow(predict, f"{schema}, lang_pred string, score double, n_langs int")
+    return frame.mapInArrow(predict, f"{schema}, lang_pred string, score double, n_langs int, explained boolean")
 
 
 def identify(docs: DataFrame, names: list[str], model: np.ndarray, held_out: Column) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score, n_langs."""
     frame = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out.alias("held_out"), "text")
-    return _predicted(frame, names, model, ["doc_id", "held_out"], "doc_id bigint, held_out boolean")
+    return _predicted(frame, names, model, ["doc_id", "held_out"], "doc_id bigint, held_out boolean").drop("explained")
 
 
 def annotate(docs: DataFrame, names: list[str], model: np.ndarray) -> DataFrame:
-    """Every row of ``docs`` whole as the struct ``row``, next to lang_pred, score, n_langs."""
+    """Every row of ``docs`` whole as the struct ``row``, next to lang_pred, score, n_langs, explained."""
     frame = docs.select(F.struct("*").alias("row"))
     return _predicted(frame, names, model, ["row"], f"row {frame.schema['row'].dataType.simpleString()}")

@@ -13,10 +13,6 @@ from pyspark.sql import functions as F
 from assaymill.llm import bpe, decontaminate, languages, neardup, secrets
 from assaymill.llm.common import fold, stored
 
-# A document whose language is less sure than this is rejected; of four languages, none
-# can be less than 1/4 likely, so this rejects texts that two or more explain about equally well.
-LEAST_SCORE = 0.4
-
 ORACLE_SQL = None  # expectation-maximisation and sampled hashes have no SQL form
 
 
@@ -29,10 +25,10 @@ def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a recognised language; no letters or no clear language: rejected."""
+    """Documents that one language or a mixture of several explains; others and those without letters are rejected."""
     names, model = languages.learn(docs.where(fold("doc_id", 5) != 0))
     told = languages.annotate(docs, names, model)
-    return told.where((F.col("lang_pred") != languages.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("row.*")
+    return told.where((F.col("lang_pred") != languages.UNKNOWN) & F.col("explained")).select("row.*")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -122,6 +122,23 @@ def test_certificate_agrees_with_elimination():
         assert chosen[0].tolist() == [1, 0, 0]
 
 
+def test_mixed_documents_are_kept(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    long = {r.lang: r.text for r in docs.where("n_chars > 4000").groupBy("lang").agg(F.min("text").alias("text")).collect()}
+    first, second, third = sorted(long)[:3]
+    letters = random.Random(8)
+    texts = {1: long[first][:2200] + " " + long[second][:1800], 2: long[second][:2200] + " " + long[first][:1800],
+             3: " ".join(long[x][:1300] for x in (first, second, third)), 4: long[third][:3000],
+             5: " ".join("".join(letters.choice("qxzvwkjy") for _ in range(7)) for _ in range(300)), 6: "12 !"}
+    given = docs.unionByName(spark.createDataFrame(
+        [(10**6 + i, t, None, "s", len(t)) for i, t in texts.items()], docs.schema))
+    kept = {r.doc_id - 10**6 for r in corpus_pipeline.known_language(spark, given, sf_dir).where("doc_id > 1000000").collect()}
+    assert kept == {1, 2, 3, 4}
+    names, model = languages.learn(docs)
+    share, sure = languages.infer([texts[1], texts[2], texts[3]], model)
+    assert (sure > 0.99).all() and ((share > 0.2).sum(axis=1) == [2, 2, 3]).all()
+
+
 # 2 Main text
 
 PAGE = """<!doctype html><html><head><title>T</title><script>if (a < b) {"<p>no</p>"}</script></head><body>
