@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from assaymill.llm import (
-    bpe, chat, context_trees, decontaminate, fingerprints, html, languages, neardup, pseudonyms, secrets,
+    bpe, chat, context_trees, decontaminate, fingerprints, html, languages, merkle, neardup, pseudonyms, secrets,
 )
 from assaymill.llm.common import fold
 
@@ -79,6 +79,10 @@ def context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_trees.scores(_table(spark, sf_dir, "documents"), fold("doc_id", 10) != 0)
 
 
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(_table(spark, sf_dir, "documents"))
+
+
 _WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
           r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
 
@@ -154,6 +158,57 @@ SELECT conv_id, perspective, segment, COUNT(*) AS n_turns, string_agg(part, '' O
 FROM placed GROUP BY conv_id, perspective, segment
 """
 
+# Unsigned crc32 of a list of bytes, from the table that the polynomial defines.
+_CRC_TABLE = """(SELECT list(list_reduce(range(8), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, i)
+                        ORDER BY i) AS crc FROM range(256) AS r(i))"""
+
+
+def _crc_sql(bytes_: str) -> str:
+    return f"xor(list_reduce({bytes_}, lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295)"
+
+
+def _leaf_sql(*values: str) -> str:
+    return "sha256(" + " || ".join(
+        f"COALESCE(octet_length(encode(CAST({v} AS VARCHAR))) || ':' || CAST({v} AS VARCHAR), '-')" for v in values) + ")"
+
+
+def _levels_sql(name: str, start: str) -> str:
+    return f"""{name} AS (
+  SELECT key, 0 AS h, i, d FROM ({start})
+  UNION ALL
+  SELECT key, h + 1, i // 2, sha256(string_agg(d, '' ORDER BY i))
+  FROM (SELECT *, COUNT(*) OVER (PARTITION BY key) AS n FROM {name}) WHERE n > 1 GROUP BY key, h, i // 2)"""
+
+
+def _walk_sql(name: str, start: str, nodes: str) -> str:
+    return f"""{name} AS (
+  SELECT doc_id, key, 0 AS h, i, d, proof FROM ({start})
+  UNION ALL
+  SELECT w.doc_id, w.key, w.h + 1, w.i // 2,
+         sha256(CASE WHEN s.d IS NULL THEN w.d WHEN w.i % 2 = 0 THEN w.d || s.d ELSE s.d || w.d END), w.proof || COALESCE(s.d, '')
+  FROM {name} w JOIN (SELECT key, MAX(h) AS top FROM {nodes} GROUP BY key) t ON w.key = t.key AND w.h < t.top
+  LEFT JOIN {nodes} s ON s.key = w.key AND s.h = w.h AND s.i = xor(w.i, 1))"""
+
+
+MERKLE_SQL = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, COALESCE('=' || lang, '') AS key, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i,
+         {_leaf_sql("doc_id", "source", "lang", "n_chars", "text")} AS leaf,
+         CASE WHEN {_crc_sql("list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ord(x))")} % {merkle.TAMPERED_EVERY} = 0
+              THEN {_leaf_sql("doc_id", "source", "lang", "n_chars + 1", "text")} END AS tampered
+  FROM documents, {_CRC_TABLE}),
+{_levels_sql("nodes", "SELECT key, i, leaf AS d FROM leaves")},
+subroots AS (SELECT key AS of, d AS subroot, row_number() OVER (ORDER BY key) - 1 AS i
+             FROM (SELECT key, arg_max(d, h) AS d FROM nodes GROUP BY key)),
+{_levels_sql("tops", "SELECT 0 AS key, i, subroot AS d FROM subroots")},
+{_walk_sql("walk", "SELECT doc_id, key, i, COALESCE(tampered, leaf) AS d, '' AS proof FROM leaves", "nodes")},
+{_walk_sql("upper_walk", "SELECT doc_id, 0 AS key, u.i, w.d, w.proof FROM (SELECT * FROM walk QUALIFY h = MAX(h) OVER (PARTITION BY key)) w JOIN subroots u ON w.key = u.of", "tops")},
+ended AS (SELECT * FROM upper_walk QUALIFY h = MAX(h) OVER ()),
+root AS (SELECT arg_max(d, h) AS root FROM tops)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, d AS folded_root, d = root AS verified
+FROM leaves l JOIN subroots u ON l.key = u.of JOIN (SELECT doc_id, d, proof FROM ended) USING (doc_id), root
+"""
+
 QUERIES = {
     "op1_language_mixtures": language,
     "op2_main_text": main_text,
@@ -165,12 +220,14 @@ QUERIES = {
     "op8_secret_ledger": secret_ledger,
     "op9_rotated_chats": rotated_chats,
     "op10_context_trees": context_tree,
+    "op11_merkle_manifest": merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op6_suffix_automaton": CONTAMINATION_SQL,
     "op8_secret_ledger": SECRETS_SQL,
     "op9_rotated_chats": CHAT_SQL,
+    "op11_merkle_manifest": MERKLE_SQL,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
