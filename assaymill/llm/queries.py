@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from assaymill.llm import (
     bpe, chat, context_trees, decontaminate, fingerprints, html, languages, merkle, neardup, pseudonyms, secrets,
+    variants, wavelet,
 )
 from assaymill.llm.common import fold
 
@@ -83,6 +84,14 @@ def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.report(_table(spark, sf_dir, "documents"))
 
 
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.grouped(_table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.read(wavelet.write(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
 _WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
           r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
 
@@ -209,6 +218,41 @@ SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, d AS folded_r
 FROM leaves l JOIN subroots u ON l.key = u.of JOIN (SELECT doc_id, d, proof FROM ended) USING (doc_id), root
 """
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BYTES = "list_transform(range(strlen(s)), lambda i: CAST('0x' || substr(hex(encode(s)), 2 * i + 1, 2) AS INTEGER))"
+
+# Near words by shared deletions: equal after one letter of each (at the same place) or of the longer one goes.
+VARIANTS_SQL = rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, COUNT(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents) GROUP BY doc_id, run),
+hashed AS (
+  SELECT run, times, {_crc_sql(_BYTES)} AS h
+  FROM (SELECT run, times, COALESCE(CAST(doc_id AS VARCHAR), '') || ':' || run AS s FROM runs), {_CRC_TABLE}),
+words AS (
+  SELECT word, CAST(SUM(times) AS BIGINT) AS n
+  FROM (SELECT times, CASE WHEN h % {variants.DROPPED_EVERY} = 0
+                           THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= {variants.LEAST_LENGTH} GROUP BY word HAVING SUM(times) >= {variants.LEAST_COUNT}),
+shorter AS (
+  SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+longer AS (SELECT DISTINCT l.word, l.n, w.word AS near, w.n AS near_n FROM shorter l JOIN words w ON l.rest = w.word),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM shorter a JOIN shorter b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT word, near, near_n FROM longer UNION SELECT near, word, n FROM longer),
+best AS (
+  SELECT word, COUNT(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, MAX(near_n) AS near_n FROM pairs GROUP BY word),
+formed AS (
+  SELECT w.word, w.n, COALESCE(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * w.n THEN near END AS form,
+         CASE WHEN near_n >= 2 * w.n THEN near_n END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word),
+walk AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL SELECT walk.word, f.form FROM walk JOIN formed f ON walk.at = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, walk.at AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN walk ON f.word = walk.word JOIN formed e ON walk.at = e.word AND e.form IS NULL
+"""
+
 QUERIES = {
     "op1_language_mixtures": language,
     "op2_main_text": main_text,
@@ -221,6 +265,8 @@ QUERIES = {
     "op9_rotated_chats": rotated_chats,
     "op10_context_trees": context_tree,
     "op11_merkle_manifest": merkle_manifest,
+    "op12_spelling_variants": spelling_variants,
+    "op13_wavelet_shards": wavelet_shards,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
@@ -228,6 +274,7 @@ ORACLES = {
     "op8_secret_ledger": SECRETS_SQL,
     "op9_rotated_chats": CHAT_SQL,
     "op11_merkle_manifest": MERKLE_SQL,
+    "op12_spelling_variants": VARIANTS_SQL,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
