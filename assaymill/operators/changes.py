@@ -11,8 +11,24 @@ from pyspark.sql.types import StructType
 from assaymill.functions.dates import OPEN_END
 
 
+def unique_by(df: DataFrame, key: str) -> DataFrame:
+    """``df`` as it is; the job fails when two rows share a key or have none, so that a merge never multiplies rows.
+
+    One aggregate on the key, the partitioning the merge needs anyway.
+    """
+    rows = df.groupBy(F.col(key).alias("_key")).agg(
+        F.count("*").alias("_rows"), F.any_value(F.struct("*")).alias("_row"))
+    message = F.concat(F.lit(f"repeated or missing {key} in the updates: "), F.coalesce(F.col("_key").cast("string"), F.lit("null")))
+    single = F.when((F.col("_rows") == 1) & F.col("_key").isNotNull(), F.col("_row")).otherwise(F.raise_error(message))
+    return rows.select(single.alias("_row")).select("_row.*")
+
+
 def scd1_upsert(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """Updates replace rows with the same key and add the others. Keys are unique on both sides."""
+    """Updates replace rows with the same key and add the others.
+
+    A key that occurs twice in the updates, and a null key there, fails the job.
+    """
+    updates = unique_by(updates, key)
     new = updates.select([F.col(c).alias(f"_new_{c}") for c in updates.columns])
     joined = target.join(new, F.col(key) == F.col(f"_new_{key}"), "full_outer")
     replaced = F.col(f"_new_{key}").isNotNull()
@@ -42,9 +58,10 @@ def scd2_merge(
 
     One equi join of the snapshot with the current versions finds both; a row
     that does not change is passed through, closed versions are not touched.
-    ``history`` has ``key``, the tracked columns, valid_from, valid_to, is_current.
+    ``history`` has ``key``, the tracked columns, valid_from, valid_to, is_current. A
+    key that occurs twice in the snapshot, and a null key there, fails the job.
     """
-    fresh = snapshot.select(
+    fresh = unique_by(snapshot.select(key, *tracked), key).select(
         F.col(key).alias("_s_key"), *[F.col(c).alias(f"_s_{c}") for c in tracked])
     past = history.where("is_current = 0")
     current = history.where("is_current = 1")

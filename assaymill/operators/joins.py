@@ -60,16 +60,6 @@ def not_in(left: DataFrame, key: str, right: DataFrame) -> DataFrame:
         (kind == "empty") | ((kind == "plain") & F.col(key).isNotNull()))
 
 
-def point_in_time_join(
-    events: DataFrame, versions: DataFrame, key: str, at: str, valid_from: str, valid_to: str
-) -> DataFrame:
-    """Events with the version that was valid on their date; an open end never expires."""
-    in_window = (F.col(at) >= F.col(valid_from)) & (
-        F.col(valid_to).isNull() | (F.col(at) <= F.col(valid_to))
-    )
-    return events.join(versions, key).where(in_window)
-
-
 def after_validity(
     events: DataFrame, entities: DataFrame, key: str, at: str, ended: str
 ) -> DataFrame:

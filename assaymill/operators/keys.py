@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assaymill.operators.ordered import row_numbers
+from assaymill.operators.ordered import Key, row_numbers
 from assaymill.runtime import dealt
 
 
@@ -21,7 +21,7 @@ def dedup_by_key(df: DataFrame, key: Column, order: Sequence[Column]) -> DataFra
     return kept.select("_row.*")
 
 
-def duplicate_listing(df: DataFrame, key: Column, order: Sequence[Column]) -> DataFrame:
+def duplicate_listing(df: DataFrame, key: Column, order: Sequence[Key]) -> DataFrame:
     """All rows whose key occurs more than once, numbered within their key."""
     keyed = df.withColumn("norm_key", key).where("norm_key <> ''")
     repeated = dealt(keyed.groupBy("norm_key").count().where("count > 1").select("norm_key"))

@@ -64,6 +64,17 @@ def stale_totals(sales: DataFrame, tolerance: float = 0.02) -> DataFrame:
     )
 
 
+# Texts that stand for a total nobody has entered.
+PLACEHOLDERS = ["TBD", "N/A"]
+
+
+def junk_totals(sales: DataFrame) -> DataFrame:
+    """Every stored total that is no plain number, a placeholder or a text with a currency sign, and its lines."""
+    stored = F.trim("order_total")
+    junk = sales.where(stored.isin(PLACEHOLDERS) | stored.startswith("$"))
+    return junk.groupBy("order_total").agg(F.count("*").alias("order_lines"))
+
+
 def constraint_violations(
     df: DataFrame,
     *,

@@ -90,3 +90,27 @@ def gap_between_events(df: DataFrame, entity: str, day: str) -> DataFrame:
     days = df.where(F.col(day).isNotNull()).select(entity, day).distinct()
     return days.withColumn("prev_date", F.lag(day).over(along([day], [entity]))).withColumn(
         "days_since_prev", F.datediff(day, "prev_date"))
+
+
+def inactive_spans(
+    members: DataFrame, events: DataFrame, member: str, day: str, first: Column, last: Column
+) -> DataFrame:
+    """For every member, the stretches from ``first`` to ``last`` without an event: member, first_day, last_day, days.
+
+    Islands instead of a calendar per member: the work is linear in active days. A member
+    without any event has one stretch; ``first`` and ``last`` are literals or scalar subqueries.
+    """
+    days = events.where(F.col(member).isNotNull() & F.col(day).between(first, last)).select(member, F.col(day).alias("_day")).distinct()
+    w = along(["_day"], [member])
+    beside = days.select(member, "_day", F.lag("_day").over(w).alias("_before"), F.lead("_day").over(w).alias("_after"))
+
+    def span(start: Column, end: Column) -> Column:
+        return F.struct(start.alias("first_day"), end.alias("last_day"))
+
+    ahead = F.when(F.col("_before").isNull(), span(first, F.date_sub("_day", 1)))
+    behind = span(F.date_add("_day", 1), F.coalesce(F.date_sub("_after", 1), last))
+    spans = beside.select(member, F.inline(F.array_compact(F.array(ahead, behind))))
+    idle = members.select(member).where(F.col(member).isNotNull()).distinct().join(days, member, "left_anti")
+    whole = idle.select(member, first.alias("first_day"), last.alias("last_day"))
+    found = spans.unionByName(whole).where("first_day <= last_day")
+    return found.withColumn("days", F.datediff("last_day", "first_day") + 1)

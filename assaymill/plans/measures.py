@@ -79,3 +79,48 @@ def prior_year(
     before = F.col("net_revenue_py")
     growth = safe_ratio(F.col(value) - before, before, 0.0)
     return current.withColumn("net_revenue_py", earlier).withColumn("net_revenue_yoy_pct", growth)
+
+
+def _same_days_last_year(days: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The days one year before those of each group, every day once.
+
+    29 February maps to the 28th. A group that holds both 27 and 28 February ends with its
+    month, so where the year before is a leap year it takes in the 29th as well.
+    """
+    shifted = days.select(*by, F.add_months("date", -12).alias("date"))
+    ends = (F.month("date") == 2) & F.dayofmonth("date").isin(27, 28)
+    whole = days.where(ends).groupBy(*by, F.year("date").alias("_year")).agg(
+        F.count_if(F.dayofmonth("date") == 27).alias("_27"), F.count_if(F.dayofmonth("date") == 28).alias("_28"))
+    leap = F.last_day(F.make_date(F.col("_year") - 1, F.lit(2), F.lit(1)))
+    added = whole.where((F.col("_27") > 0) & (F.col("_28") > 0) & (F.dayofmonth(leap) == 29)).select(*by, leap.alias("date"))
+    return shifted.unionByName(added).distinct()
+
+
+def same_period_last_year(
+    df: DataFrame,
+    calendar: DataFrame,
+    calendar_by: Sequence[str] = (),
+    by: Sequence[str] = (),
+    chosen: Column | None = None,
+    day: str = "order_date",
+    amount: str = "net_amount",
+) -> DataFrame:
+    """Net revenue of the chosen days next to that of the same days one year earlier.
+
+    ``chosen`` filters ``calendar`` (one row per ``date``), as a date filter on a page does; the
+    earlier days come from the chosen ones and may lie outside them. Groups are
+    ``calendar_by``, columns of the calendar, and ``by``, columns of ``df``; a group shows up when
+    either side has rows. The lines are read once and summed to days before they meet
+    the days' two roles.
+    """
+    days = calendar if chosen is None else calendar.where(chosen)
+    days = days.select(*calendar_by, "date")
+    roles = days.withColumn("_now", F.lit(True)).unionByName(
+        _same_days_last_year(days, calendar_by).withColumn("_now", F.lit(False)))
+    cents = F.sum(F.rint(F.col(amount) * 100).cast("long"))
+    totals = df.groupBy(F.col(day).alias("date"), *by).agg(cents.alias("_cents"))
+    both = totals.join(roles, "date").groupBy(*calendar_by, *by).agg(
+        (F.sum(F.when(F.col("_now"), F.col("_cents"))) / 100).alias("total_net_revenue"),
+        (F.sum(F.when(~F.col("_now"), F.col("_cents"))) / 100).alias("net_revenue_py"))
+    growth = safe_ratio(F.col("total_net_revenue") - F.col("net_revenue_py"), F.col("net_revenue_py"), 0.0)
+    return both.withColumn("net_revenue_yoy_pct", growth)

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from assaymill.plans import gold, silver
-from assaymill.sources.sinks import create_or_replace
+from assaymill.sources.sinks import publish
 
 
 def run_medallion(bronze: Mapping[str, DataFrame], path: str | None = None) -> dict[str, DataFrame]:
@@ -15,13 +15,14 @@ def run_medallion(bronze: Mapping[str, DataFrame], path: str | None = None) -> d
 
     With ``path`` the tables that several others read (silver and the fact) are
     written there and read back, so each is computed once and a lost executor
-    costs a re-read instead of a rebuild. The fact is clustered by day, which
+    costs a re-read instead of a rebuild; a rebuild over an older one replaces each table at
+    once when it is whole (``sinks.published`` reads it). The fact is clustered by day, which
     lets date ranges skip files. Without ``path`` the frames stay lazy.
     """
     out = dict(bronze)
 
     def keep(name: str, df: DataFrame, *cluster_by: str) -> None:
-        out[name] = create_or_replace(df, f"{path}/{name}", cluster_by) if path else df
+        out[name] = publish(df, f"{path}/{name}", cluster_by) if path else df
 
     keep("silver_customers", silver.silver_customers(out["bronze_customers"]))
     keep("silver_products", silver.silver_products(out["bronze_products"]))

@@ -42,9 +42,21 @@ def spine_over(df: DataFrame, day: str, whole_years: bool = False) -> DataFrame:
     return with_date_key(day_series(bounds, lo, hi))
 
 
+BLOCK = 1 << 16
+
+
 def numbers_up_to(df: DataFrame, upper: Column, name: str = "n") -> DataFrame:
-    """Each row repeated for 1 .. ``upper``."""
-    return df.withColumn(name, F.explode(F.sequence(F.lit(1), upper)))
+    """Each row repeated for 1 .. ``upper``; none where that is below 1 or null.
+
+    Two levels: blocks of numbers first, dealt out over the tasks, then the numbers of each block. So
+    no array is longer than a block, however long one row's series is.
+    """
+    kind = df.select(upper.alias("_upper")).schema["_upper"].dataType
+    last = df.withColumn("_upper", upper.cast("long")).where("_upper >= 1")
+    blocks = last.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_upper") - 1) / BLOCK))))
+    blocks = blocks.hint("rebalance")
+    within = F.sequence(F.col("_block") * BLOCK + 1, F.least(F.col("_upper"), (F.col("_block") + 1) * BLOCK))
+    return blocks.withColumn(name, F.explode(within)).withColumn(name, F.col(name).cast(kind)).drop("_upper", "_block")
 
 
 def powers_up_to(df: DataFrame, bound: Column, base: int = 2, name: str = "power") -> DataFrame:

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from assaymill.functions import dates
+from assaymill.operators import windows
+from assaymill.operators.joins import semi_join
 from assaymill.plans import analytics, gold
 from catalog.model_sql import esum, rnd, sql
 from catalog.registry import query
@@ -139,6 +141,32 @@ def zero_activity_days(t):
         "order_date", "day_name")
 
 
+def _inactive_sql(member: str, members: str, events: str) -> str:
+    """Every member with every day, less the active ones; consecutive days share a number."""
+    return sql(f"""
+    SELECT {member}, MIN(date) AS first_day, MAX(date) AS last_day, CAST(COUNT(*) AS INTEGER) AS days
+    FROM (SELECT {member}, date, date - CAST(row_number() OVER (PARTITION BY {member} ORDER BY date) AS INTEGER) AS island
+          FROM (SELECT DISTINCT {member} FROM {members} WHERE {member} IS NOT NULL) m, window_days
+          WHERE NOT EXISTS (SELECT 1 FROM active a WHERE a.{member} = m.{member} AND a.order_date = date))
+    GROUP BY {member}, island""", active=f"SELECT DISTINCT {member}, order_date FROM {events}")
+
+
+def _inactive(t, members, events, member):
+    first, last = (t.order_days.agg(f("date")).scalar() for f in (F.min, F.max))
+    return windows.inactive_spans(members, events, member, "order_date", first, last)
+
+
+@query("inactive_days_by_customer", _inactive_sql("customer_id", "cust", "headers"))
+def inactive_days_by_customer(t):
+    return _inactive(t, t.customers, semi_join(t.headers, t.customers, "customer_id"), "customer_id")
+
+
+@query("inactive_days_by_category", _inactive_sql("category", "prod", "fact JOIN prod USING (product_id)"))
+def inactive_days_by_category(t):
+    goods = t.products.select("product_id", "category")
+    return _inactive(t, goods, t.fact.select("product_id", "order_date").join(goods, "product_id"), "category")
+
+
 @query("after_termination_share", sql(f"""
     SELECT employee_id, full_name, termination_date, COUNT(*) AS total_lines,
            COUNT(*) FILTER (order_date > termination_date) AS lines_after_term,

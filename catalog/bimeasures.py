@@ -7,8 +7,11 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from assaymill.functions.numbers import money_sum
+from assaymill.operators import presence, quality
 from assaymill.plans import bi
-from assaymill.plans.measures import measures, prior_year
+from assaymill.plans.measures import measures, prior_year, same_period_last_year
+from assaymill.runtime import new_scratch_path
+from assaymill.sources.sinks import create_or_replace
 from catalog.model_sql import esum, isum, sql
 from catalog.registry import query
 
@@ -80,6 +83,77 @@ def net_revenue_yoy_pct(t):
     return prior_year(_model(t, "year", "month"))
 
 
+def _slices_sql(*groups: str) -> str:
+    return sql(" UNION ALL ".join(
+        f"SELECT '{g or 'all'}' AS slice, CAST({g or 'NULL'} AS VARCHAR) AS member, {ORDERS} AS total_orders, "
+        f"{CUSTOMERS} AS active_customer_count FROM model {f'GROUP BY {g}' if g else ''}" for g in groups), model=MODEL)
+
+
+@query("distinct_counts_by_slices", _slices_sql("category", "year", "month", ""))
+def distinct_counts_by_slices(t):
+    """Two distinct counts for four groupings from one kept pre-aggregation."""
+    path = new_scratch_path(t.spark, "presence")
+    kept = create_or_replace(presence.presence(
+        _model(t, "category", "year", "month"), ["category", "year", "month"],
+        {"total_orders": "order_id", "active_customer_count": "customer_id"}), path)
+    names = ["total_orders", "active_customer_count"]
+    return quality.stacked([
+        presence.distinct_counts(kept, [g] if g else [], names).select(
+            F.lit(g or "all").alias("slice"), (F.col(g) if g else F.lit(None)).cast("string").alias("member"), *names)
+        for g in ("category", "year", "month", "")])
+
+
+# A page cut to these days: it begins inside a month and ends with a February after a leap year.
+PAGE_FROM, PAGE_TO = dt.date(1997, 1, 15), dt.date(2001, 2, 28)
+
+
+def _last_year_sql(keys: list[str], source: str = "fact") -> str:
+    """Chosen days and the days a year before, each set joined with the lines by itself."""
+    days = [k for k in keys if k != "category"]
+    named, given = ", ".join([*days, "k"]), ", ".join([*keys, "k"])
+    chosen = (f"SELECT *, date AS day, 1 AS k FROM cal WHERE date BETWEEN DATE '{PAGE_FROM}' AND DATE '{PAGE_TO}'")
+    alike = " AND ".join(f"o.{d} = c.{d}" for d in [*days, "k"])
+    earlier = f"""
+        SELECT {named}, CAST(date - INTERVAL 1 YEAR AS DATE) AS date FROM chosen UNION
+        SELECT {named}, CAST(date - INTERVAL 1 YEAR AS DATE) + 1 FROM chosen c
+        WHERE strftime(date, '%m-%d') = '02-28' AND month(CAST(date - INTERVAL 1 YEAR AS DATE) + 1) = 2
+          AND EXISTS (SELECT 1 FROM chosen o WHERE o.date = c.date - 1 AND {alike})"""
+    now = f"SELECT {given}, {NET} AS total_net_revenue FROM chosen JOIN {source} ON order_date = date GROUP BY {given}"
+    before = f"SELECT {given}, {NET} AS net_revenue_py FROM earlier JOIN {source} ON order_date = date GROUP BY {given}"
+    return sql(f"""
+        SELECT {"".join(f"{k}, " for k in keys)}total_net_revenue, net_revenue_py,
+               COALESCE((total_net_revenue - net_revenue_py) / NULLIF(net_revenue_py, 0), 0) AS net_revenue_yoy_pct
+        FROM now_side FULL JOIN before_side USING ({given})""",
+        chosen=chosen, earlier=earlier, now_side=now, before_side=before,
+        sold="SELECT fact.*, p.category FROM fact JOIN (SELECT product_id, category FROM prod WHERE category IS NOT NULL) p USING (product_id)")
+
+
+def _on_page(t):
+    return t.calendar.withColumn("day", F.col("date")), F.col("date").between(PAGE_FROM, PAGE_TO)
+
+
+@query("prior_year_days", _last_year_sql(["day"]))
+def prior_year_days(t):
+    """Every chosen day next to the same day a year earlier, which may lie outside the page."""
+    calendar, chosen = _on_page(t)
+    return same_period_last_year(t.fact, calendar, ["day"], chosen=chosen)
+
+
+@query("prior_year_months", _last_year_sql(["year", "month", "category"], "sold"))
+def prior_year_months(t):
+    """Months cut by the page's filter, by category."""
+    calendar, chosen = _on_page(t)
+    goods = t.products.where("category IS NOT NULL").select("product_id", "category")
+    return same_period_last_year(t.fact.join(goods, "product_id"), calendar, ["year", "month"], ["category"], chosen)
+
+
+@query("prior_year_page", _last_year_sql([]))
+def prior_year_page(t):
+    """One figure for the whole page."""
+    calendar, chosen = _on_page(t)
+    return same_period_last_year(t.fact, calendar, chosen=chosen)
+
+
 FROM_DAY, TO_DAY = dt.date(1997, 1, 1), dt.date(1999, 12, 31)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from assaymill.functions import dates, text
 from assaymill.functions.numbers import money_sum
-from assaymill.operators import joins
+from assaymill.operators import intervals, joins
 from assaymill.plans import gold, silver
 from assaymill.runtime import pinned
 from catalog.model_sql import datekey, esum, sql
@@ -115,7 +115,7 @@ def self_join_pairs(t):
 def point_in_time_join(t):
     terms = t.employees.select("employee_id", "hire_date", "termination_date")
     sold = t.fact.select("order_id", "order_line_id", "employee_id", "order_date")
-    return joins.point_in_time_join(
+    return intervals.point_in_time_join(
         sold, terms, "employee_id", "order_date", "hire_date", "termination_date")
 
 

@@ -52,6 +52,13 @@ def stale_total_detector(t):
         "pre_discount_total", "net_amount")
 
 
+@query("junk_totals", sql("""
+    SELECT order_total, COUNT(*) AS order_lines FROM bronze_sales
+    WHERE trim(order_total) IN ('TBD', 'N/A') OR trim(order_total) LIKE '$%' GROUP BY order_total"""))
+def junk_totals(t):
+    return quality.junk_totals(t.bronze_sales)
+
+
 def _surplus(name: str, key: str, table: str) -> str:
     return (f"SELECT 'UNIQUE {name}' AS constraint_name, COUNT({key}) - COUNT(DISTINCT {key}) AS violations FROM {table}")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from assaymill.functions import text
 from assaymill.functions.numbers import exact_avg, money_sum
-from assaymill.operators import groups, joins
+from assaymill.operators import groups, joins, ordered
 from assaymill.plans import analytics, bi
 from assaymill.sources.tables import inline_values
 from catalog.model_sql import esum, q, sql
@@ -34,6 +34,16 @@ def limit_offset(t):
     return orders.orderBy(F.col("o_totalprice").desc(), "o_orderkey").offset(20).limit(10)
 
 
+@query("deep_page", """
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate FROM lineitem
+    ORDER BY l_shipdate DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity LIMIT 500 OFFSET 40000""")
+def deep_page(t):
+    """A page far down: only the slices that hold it are sorted."""
+    lines = t.raw("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+    order = [ordered.descending("l_shipdate"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
+    return ordered.page(lines, order, 40_000, 500)
+
+
 @query("union_all", sql("""
     SELECT 'customer' AS kind, customer_id AS id, full_name FROM cust
     UNION ALL SELECT 'employee', employee_id, full_name FROM emp"""))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
@@ -125,6 +127,22 @@ def create_or_replace_layer(t):
     return sinks.create_or_replace(silver.silver_products(t.bronze_products), path)
 
 
+@query("create_or_replace_view", sql("SELECT * FROM silver_products"))
+def create_or_replace_view(t):
+    """A layer as a view, defined twice; the second definition is the one that counts."""
+    name = f"products_{uuid.uuid4().hex}"
+    sinks.create_or_replace_view(t.bronze_products.select("product_id"), name)
+    return sinks.create_or_replace_view(silver.silver_products(t.bronze_products), name)
+
+
+@query("publish_layer", sql("SELECT customer_id, full_name, state FROM cust WHERE state IS NOT NULL"))
+def publish_layer(t):
+    """A table replaced by one that is made from itself."""
+    path = new_scratch_path(t.spark, "published")
+    first = sinks.publish(t.customers.select("customer_id", "full_name", "state"), path)
+    return sinks.publish(first.where("state IS NOT NULL"), path)
+
+
 @query("create_if_absent", sql("SELECT * FROM emp"))
 def create_if_absent(t):
     path = new_scratch_path(t.spark, "employees")

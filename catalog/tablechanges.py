@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from assaymill.functions.numbers import nearest_cent
-from assaymill.operators import changes
+from assaymill.operators import changes, keymap
+from assaymill.runtime import new_scratch_path
+from assaymill.sources import sinks
 from catalog.model_sql import DUP, sql
 from catalog.registry import query
 
@@ -40,6 +42,19 @@ def scd1_upsert(t):
     return changes.scd1_upsert(current, _changed_products(t), "product_id")
 
 
+@query("upsert_in_folders", sql("""
+    SELECT product_id, product_name, brand, unit_price FROM changed WHERE brand = 'Brand#7'
+    UNION ALL SELECT product_id, product_name, brand, unit_price FROM prod
+    WHERE product_id NOT IN (SELECT product_id FROM changed WHERE brand = 'Brand#7')""", changed=CHANGED))
+def upsert_in_folders(t):
+    """The same upsert into a table in hash folders, of which only those with a changed key are rewritten."""
+    path = new_scratch_path(t.spark, "products")
+    sinks.write_folders(t.products.select("product_id", "product_name", "brand", "unit_price"), path, "product_id", 16)
+    updates = _changed_products(t).where("brand = 'Brand#7'")
+    return sinks.merge_folders(path, updates, "product_id", 16,
+                               lambda rows, new: changes.scd1_upsert(rows, new, "product_id"))
+
+
 @query("scd2_window_view", sql("""
     SELECT employee_id, hire_date, termination_date, hire_date AS valid_from,
            COALESCE(termination_date, DATE '9999-12-31') AS valid_to,
@@ -66,6 +81,10 @@ HISTORY = """
     WHERE h.product_id IS NULL OR c.unit_price <> h.unit_price OR c.brand <> h.brand""",
     history=HISTORY, changed=CHANGED))
 def scd2_merge(t):
+    return changes.scd2_merge(_history(t), _changed_products(t), "product_id", ["brand", "unit_price"], F.lit(AS_OF))
+
+
+def _history(t):
     made = F.col("created_at")
     open_end = F.lit("9999-12-31").cast("date")
     versions = t.products.select(
@@ -75,8 +94,48 @@ def scd2_merge(t):
         "product_id", F.lit("Unbranded").alias("brand"), "unit_price",
         F.date_sub(made, 400).alias("valid_from"), F.date_sub(made, 1).alias("valid_to"),
         F.lit(0).alias("is_current"))
-    return changes.scd2_merge(versions.unionByName(earlier), _changed_products(t), "product_id",
-                              ["brand", "unit_price"], F.lit(AS_OF))
+    return versions.unionByName(earlier)
+
+
+MERGED = """
+    SELECT product_id, valid_from FROM history
+    UNION ALL
+    SELECT c.product_id, DATE '2000-07-01' FROM changed c LEFT JOIN (SELECT * FROM history WHERE is_current = 1) h USING (product_id)
+    WHERE h.product_id IS NULL OR c.unit_price <> h.unit_price OR c.brand <> h.brand"""
+KEYED = """
+    SELECT product_id, valid_from, row_number() OVER (ORDER BY later, product_id, valid_from) AS version_sk
+    FROM (SELECT *, (product_id, valid_from) NOT IN (SELECT (product_id, valid_from) FROM history) AS later FROM merged)"""
+VERSION = ["product_id", "valid_from"]
+
+
+def _loaded_twice(t):
+    """The history before and after the merge, and the key map after either load, written each time."""
+    before = _history(t)
+    after = changes.scd2_merge(before, _changed_products(t), "product_id", ["brand", "unit_price"], F.lit(AS_OF))
+    first = sinks.create_or_replace(keymap.extend_keys(before, VERSION, "version_sk"), new_scratch_path(t.spark, "keys"))
+    second = keymap.extend_keys(after, VERSION, "version_sk", first)
+    return after, sinks.create_or_replace(second, new_scratch_path(t.spark, "keys"))
+
+
+@query("kept_version_keys", sql("SELECT * FROM keyed", history=HISTORY, changed=CHANGED, merged=MERGED, keyed=KEYED))
+def kept_version_keys(t):
+    """One number per product version over two loads; those of the first load stay."""
+    return _loaded_twice(t)[1]
+
+
+@query("fact_version_lookup", sql("""
+    SELECT version_sk, COUNT(*) AS order_lines, MIN(order_date) AS first_order_date, MAX(order_date) AS last_order_date
+    FROM fact f JOIN (SELECT *, LEAD(valid_from) OVER (PARTITION BY product_id ORDER BY valid_from) AS upto FROM keyed) v
+      ON f.product_id = v.product_id AND f.order_date >= v.valid_from AND (upto IS NULL OR f.order_date < upto)
+    GROUP BY version_sk""", history=HISTORY, changed=CHANGED, merged=MERGED, keyed=KEYED))
+def fact_version_lookup(t):
+    """Lines by the version of their product on the order date."""
+    history, keys = _loaded_twice(t)
+    sold = t.fact.select("order_id", "order_line_id", "product_id", "order_date")
+    found = keymap.version_of(sold, history, keys, "product_id", "order_date", "version_sk")
+    return found.groupBy("version_sk").agg(
+        F.count("*").alias("order_lines"), F.min("order_date").alias("first_order_date"),
+        F.max("order_date").alias("last_order_date"))
 
 
 @query("conditional_update", sql(f"""

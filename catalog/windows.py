@@ -21,7 +21,7 @@ def _ltv(t):
     SELECT customer_id, customer_segment, order_count,
            row_number() OVER (PARTITION BY customer_segment ORDER BY order_count DESC, customer_id) AS row_num FROM ltv"""))
 def row_number(t):
-    order = [F.col("order_count").desc(), F.col("customer_id").asc()]
+    order = [ordered.descending("order_count"), "customer_id"]
     return ordered.row_numbers(_ltv(t), ["customer_segment"], order)
 
 
@@ -97,7 +97,7 @@ def first_crossing(t):
            {rnd("100.0::DOUBLE * total_revenue / (SUM(CAST(ROUND(total_revenue * 100) AS BIGINT)) OVER (PARTITION BY category)::DOUBLE / 100)", 1)} AS pct_of_group
     FROM product_revenue"""))
 def partition_total_share(t):
-    revenue = pinned(analytics.product_revenue(t.lines, t.products).drop("product_name"))
+    revenue = analytics.product_revenue(t.lines, t.products).drop("product_name")
     return groups.share_of_group(revenue, ["category"], "total_revenue")
 
 
@@ -136,6 +136,49 @@ def largest_drops(t):
         "year", "month", "month_total", "change")
 
 
+# Line grain: two channels hold all lines, so each is a group of about half the table.
+LINE = ["channel", "order_date", "order_id", "order_line_id", "product_id", "net_amount"]
+LINE_ORDER = LINE[1:]
+LINE_W = f"PARTITION BY channel ORDER BY {', '.join(f'{c} NULLS FIRST' for c in LINE_ORDER)}"
+
+
+@query("line_moving_average", sql(f"""
+    SELECT {", ".join(LINE)}, {rnd("SUM(c) OVER w::DOUBLE / 100 / COUNT(c) OVER w")} AS moving_avg_5
+    FROM (SELECT *, CAST(ROUND(net_amount * 100) AS BIGINT) AS c FROM fact)
+    WINDOW w AS ({LINE_W} ROWS 4 PRECEDING)"""))
+def line_moving_average(t):
+    return ordered.moving_mean(t.fact.select(*LINE), ["channel"], LINE_ORDER, "net_amount", "moving_avg_5", 5)
+
+
+@query("line_running_max", sql(f"""
+    SELECT {", ".join(LINE)}, MAX(net_amount) OVER ({LINE_W} ROWS UNBOUNDED PRECEDING) AS running_max FROM fact"""))
+def line_running_max(t):
+    return ordered.running_extreme(t.fact.select(*LINE), ["channel"], LINE_ORDER, "net_amount", "running_max")
+
+
+@query("line_change", sql(f"""
+    SELECT {", ".join(LINE)}, LAG(net_amount) OVER ({LINE_W}) AS prior_amount,
+           {rnd(f"net_amount - LAG(net_amount) OVER ({LINE_W})")} AS change FROM fact"""))
+def line_change(t):
+    beside = ordered.previous_value(t.fact.select(*LINE), ["channel"], LINE_ORDER, "net_amount", "prior_amount")
+    return beside.withColumn("change", F.round(F.col("net_amount") - F.col("prior_amount"), 2))
+
+
+@query("line_next", sql(f"""
+    SELECT {", ".join(LINE)}, LEAD(net_amount, 2) OVER ({LINE_W}) AS amount_after_next FROM fact"""))
+def line_next(t):
+    return ordered.following_value(t.fact.select(*LINE), ["channel"], LINE_ORDER, "net_amount", "amount_after_next", 2)
+
+
+@query("line_last_known", sql(f"""
+    SELECT {", ".join(LINE)}, employee_id,
+           LAST_VALUE(employee_id IGNORE NULLS) OVER ({LINE_W}, employee_id NULLS FIRST ROWS UNBOUNDED PRECEDING) AS last_employee_id
+    FROM fact"""))
+def line_last_known(t):
+    lines = t.fact.select(*LINE, "employee_id")
+    return ordered.last_known(lines, ["channel"], [*LINE_ORDER, "employee_id"], "employee_id", "last_employee_id")
+
+
 @query("count_over_flag", sql("""
     SELECT product_id, sku, CASE WHEN COUNT(*) OVER (PARTITION BY sku) > 1 THEN 1 ELSE 0 END AS sku_is_duplicate FROM prod"""))
 def count_over_flag(t):
@@ -232,7 +275,7 @@ def dedup_by_key(t):
 def duplicate_listing(t):
     listed = keys.duplicate_listing(
         t.bronze_customers.select("customer_id", "email"), normalized_key(F.col("email")),
-        [F.col("customer_id").asc()])
+        ["customer_id"])
     return listed.withColumnRenamed("norm_key", "norm_email")
 
 

@@ -33,7 +33,7 @@ def skewed(spark):
 def test_row_numbers_equal_a_window(skewed):
     w = Window.partitionBy("g").orderBy("v", "id")
     want = skewed.withColumn("n", F.row_number().over(w).cast("long"))
-    got = ordered.row_numbers(skewed, ["g"], [F.col("v").asc(), F.col("id").asc()], "n")
+    got = ordered.row_numbers(skewed, ["g"], ["v", "id"], "n")
     assert rows(got) == rows(want)
 
 
@@ -45,7 +45,7 @@ def test_running_sum_crosses_slices(skewed):
 
 
 def test_slices_stay_even_under_a_hot_key(skewed):
-    cut = ordered._slices(skewed, [F.col("g"), F.col("v"), F.col("id")])
+    cut = ordered.sliced(skewed, ["g", "v", "id"])
     sizes = [r["count"] for r in cut.groupBy("_slice").count().collect()]
     assert len(sizes) > 1 and max(sizes) < 6000 / 3
 
@@ -64,7 +64,7 @@ def test_surrogate_key_is_dense(skewed):
 
 
 def test_numbering_an_empty_frame(skewed):
-    assert ordered.row_numbers(skewed.where("false"), ["g"], [F.col("id").asc()]).count() == 0
+    assert ordered.row_numbers(skewed.where("false"), ["g"], ["id"]).count() == 0
 
 
 def test_group_value_and_share(spark):
