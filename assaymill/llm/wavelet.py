@@ -35,6 +35,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 from typing import BinaryIO
 
@@ -50,8 +51,8 @@ from assaymill.runtime import new_scratch_path
 
 MAGIC = b"AWM1"
 BLOCK_BITS = 1 << 16
-SHARD_TOKENS = 1 << 22
-HELD_UNITS, HELD_LENGTH = 400_000, 48  # how many units a task keeps the ids of, and how long they may be
+SHARD_TOKENS = 1 << 21
+HELD_UNITS, HELD_LENGTH = 1_000_000, 32  # how many units a worker keeps the ids of, and how long they may be
 
 
 # The file.
@@ -64,7 +65,7 @@ def matrix_bytes(ids: np.ndarray, doc_ids: Sequence[int | None], lengths: Sequen
     values = ids.astype(np.uint16 if bits <= 16 else np.uint32)
     pack = zstandard.ZstdCompressor(level=1).compress
     for shift in range(bits - 1, -1, -1):
-        ones = ((values >> shift) & 1).astype(bool)
+        ones = (values & values.dtype.type(1 << shift)).astype(bool)
         plane = np.packbits(ones)
         starts = range(0, len(plane), BLOCK_BITS // 8)
         counts = np.add.reduceat(np.bitwise_count(plane), list(starts), dtype=np.int64) if len(plane) else np.zeros(0, np.int64)
@@ -73,9 +74,9 @@ def matrix_bytes(ids: np.ndarray, doc_ids: Sequence[int | None], lengths: Sequen
             parts.append(pack(plane[i:i + BLOCK_BITS // 8].tobytes()))
             at += len(parts[-1])
             ends.append(at)
-        low = values[~ones]
+        low = values.take(np.flatnonzero(~ones))  # faster than a mask where bits are as good as random
         zeros.append(len(low))
-        values = np.concatenate([low, values[ones]])
+        values = np.concatenate([low, values.take(np.flatnonzero(ones))])
     known = [d is not None for d in doc_ids]
     directory = pack(b"".join([
         np.packbits(known).tobytes(), np.array([d or 0 for d in doc_ids], "<i8").tobytes(), np.array(lengths, "<i8").tobytes(),
@@ -190,8 +191,8 @@ class Shard:
             packed = b"".join(unpack(raw[self.ends[first + i] - base:self.ends[first + i + 1] - base]) for i in range(self.blocks))
             ones = np.unpackbits(np.frombuffer(packed, np.uint8), count=self.n).view(bool)
             above = np.empty(self.n, kind)
-            above[~ones] = values[:self.zeros[plane]]
-            above[ones] = values[self.zeros[plane]:] | kind(1 << (self.bits - 1 - plane))
+            above[np.flatnonzero(~ones)] = values[:self.zeros[plane]]
+            above[np.flatnonzero(ones)] = values[self.zeros[plane]:] | kind(1 << (self.bits - 1 - plane))
             values = above
         return values
 
@@ -219,15 +220,32 @@ UNIT = re.compile(r" ?[A-Za-z0-9À-ÖØ-öø-ÿ]+(?=[\s.,;:!?])| ?\S+|\s+(?!\S)|
 OTHER_SPACE = re.compile("[\x1c-\x1f]")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself where it prints, else the next free one from 256 on."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in prints)
+    return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+LETTERS = _byte_letters()
+SPACE = LETTERS[32]
+
+
 class _Units(dict):
-    """Unit -> the bytes of its ids."""
+    """Unit -> the bytes of its ids; those met last are held."""
 
     def __init__(self, tokenizer, kind):
         super().__init__()
-        self.tokenizer, self.kind = tokenizer, kind
+        self.tokenizer, self.kind, self.merged = tokenizer, np.dtype(kind), tokenizer.model.tokenize
 
     def encoded(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        body = text[1:] if text[:1] == " " else text
+        if not body.isalpha() or not text.isascii() and max(body) > "ÿ":
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        else:  # one pre-token, so the merges alone decide
+            letters = text.encode().decode("latin-1").translate(LETTERS) if not text.isascii() else text.replace(" ", SPACE)
+            ids = [token.id for token in self.merged(letters)]
+        return array(self.kind.char, ids).tobytes()
 
     def __missing__(self, unit: str) -> bytes:
         ids = self.encoded(unit)
@@ -255,6 +273,11 @@ def _tokenizer(path: str):
     return tokenizer
 
 
+@functools.cache
+def _units(path: str, kind: str) -> _Units:
+    return _Units(_tokenizer(path), kind)
+
+
 # Writing.
 
 
@@ -267,8 +290,9 @@ def write(docs: DataFrame, path: str, end_id: int = 0, folder: str | None = None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(path)
-        kind = np.dtype("<u2" if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
-        units, closing = _Units(tokenizer, kind), np.array([end_id], kind).tobytes()
+        units = _units(path, "<u2" if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
+        kind = units.kind
+        closing = np.array([end_id], kind).tobytes()
         files, place = _opened(folder)
         files.create_dir(place, recursive=True)
         ids: list[bytes] = []
