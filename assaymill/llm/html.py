@@ -12,8 +12,10 @@ text says where the text is. The other parts add what is decided as text: an art
 the main text counts whole if it has any such block and as a teaser if it has none.
 
 Defined cases: a null or empty page gives an empty text; unclosed, misnested and cut-off
-markup is read as far as it goes; repeated rows each get their own result; columns other
-than ``page_id``, ``url`` and ``html`` are not read.
+markup is read as far as it goes, in time linear in the page; a head left open ends where something
+stands that belongs in the body; attribute values without quotes may hold quotes and end with a slash.
+Null ids and urls are kept, repeated rows each get their own result, a table without rows gives
+none; columns other than ``page_id``, ``url`` and ``html`` are not read.
 """
 
 from __future__ import annotations
@@ -53,26 +55,49 @@ DROPPED = frozenset("""
 aside button canvas dialog footer form head header iframe math menu nav noscript object select svg template
 textarea title
 """.split())
+WRAPPERS = frozenset("form nav header".split())
 CLOSED_BY_SIBLING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
                      "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+# What may stand in the head of a page; any other start tag ends a head that was left open.
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
+FOREIGN = frozenset("svg math".split())  # only these can close themselves with a slash
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu "
                   "menubar toolbar".split())
-# A class or id says what a part of the page is for.
-NAMED = re.compile(r"""(?x)
-    (?!(?:no|has|with|without|hide)[-_])
-    (?:.*[-_])?
-    (?: ad | ads | advert\w* | adsense | banner | promo\w* | sponsor\w* | side_?bar | cookies? | consent | gdpr
-      | notices? | notification | newsletter | subscribe | sign-?up | popup | modal | overlay | paywall
-      | comments? | commentlist | disqus | repl(?:y|ies) | respond | nav | navbar | navigation | menu | breadcrumbs?
-      | pagination | pager | masthead | site-?header | page-?header | top-?bar | footer | share | sharing | social
-      | related | recommended | recommendations | widget | toolbar | log-?in | search | skip | skip-link | copyright
-      | disclaimer | header )
-    (?:[-_].*)?""")
+# A class or id says what a part of the page is for: one of these words, alone or beside others.
+PURPOSES = frozenset("""
+ad ads adsense banner sidebar cookie cookies consent gdpr notification newsletter subscribe signup popup modal overlay
+paywall comment comments commentlist disqus reply replies respond nav navbar navigation menu breadcrumb breadcrumbs
+pagination pager masthead siteheader pageheader topbar footer widget toolbar login copyright disclaimer header
+""".split())
+PURPOSE_STEMS = ("advert", "promo", "sponsor")
+# Words that also name topics: they say a purpose only among words of page layout.
+TOPICAL = frozenset("notice notices share sharing social related recommended recommendations search skip".split())
+LAYOUT = frozenset("""
+a area articles bar block blocks bottom box btn button buttons container content contents div element footer form group
+header icon icons inner input item items js left link links list main media menu module nav now outer page panel post
+posts primary region right row secondary section site stories story tools top widget wrap wrapper
+""".split())
+JOINING = frozenset("and at for from in of on or the to und de la y et".split())
+NEGATED = frozenset("no has with without hide".split())
+
+
+def _says_purpose(name: str) -> bool:
+    """Whether a class or id names a part that is no text of the article."""
+    words = [w for w in re.split("[-_]+", re.sub(r"(side|sign|top|log|site|page)[-_](bar|up|in|header)(?![a-z])", r"\1\2", name)) if w]
+    if not words or words[0] in NEGATED or JOINING.intersection(words):
+        return False
+    if any(w in PURPOSES or w.startswith(PURPOSE_STEMS) for w in words):
+        return True
+    return any(w in TOPICAL for w in words) and all(w in TOPICAL or w in LAYOUT or w.isdigit() for w in words)
+
+
 TALK = re.compile(r"(?i)comment|disqus|repl(y|ies)|respond")
 TOKEN = re.compile(r"""(?xis)
     <!--.*?(?:-->|\Z) | <[!?][^>]*(?:>|\Z)
   | <(?P<raw>script|style|xmp|noembed|noframes)\b[^>]*>.*?(?:</(?P=raw)[^>]*>|\Z)
-  | <(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attrs>(?:\s(?:[^>"']|"[^"]*"|'[^']*')*+)?|[^>]*)(?:>|\Z)""")
+  | <(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*+)
+    (?P<attrs>(?: [\s/]++ (?: [^\s/>][^\s/>=]*+ (?: \s*+=\s*+ (?: "[^"]*+" | '[^']*+' | [^\s>"'][^\s>]*+ )?+ )?+ )?+ )*+)
+    [^>]*+(?:>|\Z)""")
 ATTRIBUTE = re.compile(r"""(?is)(?<![\w-])(class|id|role|hidden|aria-hidden|style|itemprop)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -92,7 +117,7 @@ def _purpose(name: str, attrs: str, zone: int) -> tuple[bool, bool, int]:
     for key, value in ATTRIBUTE.findall(attrs) if attrs else ():
         found.setdefault(key.lower(), unescape(value.strip("\"'")).lower())
     names = f"{found.get('class', '')} {found.get('id', '')}".split()
-    marked = [x for x in names if NAMED.fullmatch(x)]
+    marked = [x for x in names if _says_purpose(x)]
     talk = any(TALK.search(x) for x in marked)
     if "hidden" in found or found.get("aria-hidden") == "true" or \
             re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", "")):
@@ -113,6 +138,8 @@ def blocks(html: str) -> list[Block]:
     out: list[Block] = []
     # name, dropped, comments, zone, inside a link, article
     stack: list[tuple[str, bool, bool, int, bool, int]] = [("", False, False, 0, False, 0)]
+    opened: Counter[str] = Counter()  # by name, so that an end tag without a start costs nothing
+    around = 0  # open elements that may stand around a whole page though they are marked as none of its text
     articles = 0
     parts: list[str] = []
     linked = 0
@@ -126,6 +153,16 @@ def blocks(html: str) -> list[Block]:
         parts.clear()
         linked = 0
 
+    def close(depth: int) -> None:
+        nonlocal around
+        for element in stack[depth:]:
+            opened[element[0]] -= 1
+            around -= element[0] in WRAPPERS and element[1]
+        del stack[depth:]
+
+    def innermost(name: str) -> int:
+        return next(depth for depth in range(len(stack) - 1, 0, -1) if stack[depth][0] == name)
+
     at = 0
     for token in TOKEN.finditer(html):
         if token.start() > at:
@@ -141,24 +178,26 @@ def blocks(html: str) -> list[Block]:
         if name in BLOCKS:
             flush()
         if token["end"]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == name:
-                    del stack[depth:]
-                    break
+            if opened[name]:
+                close(innermost(name))
             continue
-        if name in VOID or token["attrs"].endswith("/"):
+        if opened["head"] and name not in IN_HEAD:
+            flush()
+            close(innermost("head"))
+        if name in VOID or name in FOREIGN and token["attrs"].endswith("/"):
             continue
         for sibling in (CLOSED_BY_SIBLING.get(name), {"p"} if name in BLOCKS else None):
             if sibling and stack[-1][0] in sibling:
-                stack.pop()
+                close(len(stack) - 1)
         above, dropped, talk, zone, link, article = stack[-1]
         own, own_talk, zone = _purpose(name, token["attrs"], zone)
         if zone == 2 and not article:
             article = articles = articles + 1
-        if dropped and not talk and not own and name in ("article", "main") and \
-                any(x[0] in ("form", "nav", "header") and x[1] for x in stack):
+        if dropped and not talk and not own and name in ("article", "main") and around:
             dropped = False  # an unclosed menu or a form around the page
         stack.append((name, dropped or own, talk or own_talk, zone, link or name == "a", article))
+        opened[name] += 1
+        around += name in WRAPPERS and stack[-1][1]
     parts.append(html[at:])
     flush()
     return out
