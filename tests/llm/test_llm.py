@@ -540,3 +540,33 @@ def test_stages_take_effect(spark, sf_dir, tmp_path):
         if i == 3:
             assert "[SECRET]" in given.where(f"doc_id = {10**6 + 3}").first().text
     assert given.where("not round_trip").count() == 0
+
+
+@pytest.mark.parametrize("text", [
+    "-----BEGIN " + "A " * 20_000 + "x private key-----", "-----BEGIN " + "A " * 20_000 + "PRIVATE KEY-----",
+    "token=" + "a" * 200_000, "AKIA" + "Z" * 200_000, "f" * 200_000, "eyJ" + "a" * 50_000 + "." + "b" * 50_000 + "." + "c" * 50_000,
+    "ghp_" + "Q" * 100_000, "xoxb-" + "1" * 100_000])
+def test_secret_rules_do_not_recurse(spark, text):
+    (row,) = secrets.scan(spark.createDataFrame([(1, text)], "doc_id int, text string"), ["doc_id"]).by_path.collect()
+    for rule in secrets.RULES:
+        found = [(m.start(), m.end()) for m in re.finditer(rule.pattern, text) if len(m.group(rule.group)) >= rule.least]
+        assert [(s.start, s.end) for s in row.results[rule.key]] == found
+
+
+def test_a_hundred_thousand_hits_in_one_text(spark):
+    rng = random.Random(2)
+    parts = [rng.choice(["é \n", "", "x" * 40_000 if i % 9973 == 0 else " "]) + f"token={i:08d}" + rng.choice([",", " 🙂 "]) for i in range(100_000)]
+    docs = spark.createDataFrame([(1, "".join(parts)), (2, "token=12345678deadbeef" + "0" * 40 + " end"), (3, "none"), (4, None)],
+                                 "doc_id int, text string")
+    clean = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert clean[1] == re.sub(r"token=\d{8}", "[SECRET]", "".join(parts))
+    assert clean[2] == "[SECRET] end" and clean[3] == "none" and clean[4] is None
+
+
+def test_texts_that_are_known_are_not_moved(spark):
+    old = spark.createDataFrame([("a", "token=12345678"), ("b", "clean")], "path string, text string")
+    ledger = secrets.scan(old, ["path"]).ledger
+    new = old.unionByName(spark.createDataFrame([("c", "clean"), ("d", "token=87654321")], old.schema))
+    again = secrets.scan(new, ["path"], ledger=ledger)
+    assert again.ledger.count() == 3 and again.by_path.count() == 4
+    assert {r.path: len(r.results["assign@1"]) for r in again.by_path.collect()} == {"a": 1, "b": 0, "c": 0, "d": 1}
