@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted date shapes as (LIKE mask, Spark date pattern of the first 10 characters).
+# Accepted date shapes as (pattern of the whole text, 1-based start of year, month, day).
 DATE_SHAPES = (
-    ("__/__/____", "MM/dd/yyyy"),
-    ("____-__-__ __:__:__", "yyyy-MM-dd"),
-    ("____-__-__", "yyyy-MM-dd"),
+    (r"(?s)^[0-9]{4}-[0-9]{2}-[0-9]{2}( ..:..:..)?\z", (1, 6, 9)),
+    (r"^[0-9]{2}/[0-9]{2}/[0-9]{4}\z", (7, 1, 4)),
 )
 
 # End date of an open version, snapshot length of a year.
@@ -18,12 +17,18 @@ DAYS_PER_YEAR = 365.25
 
 
 def parse_mixed_date(c: Column) -> Column:
-    """Date from any accepted shape; other shapes and impossible dates give NULL."""
-    out = None
-    for mask, pattern in DATE_SHAPES:
-        value = F.try_to_date(F.substring(c, 1, 10), pattern)
-        out = F.when(c.like(mask), value) if out is None else out.when(c.like(mask), value)
-    return out
+    """Date from any accepted shape; other shapes and impossible dates give NULL.
+
+    The shape only says where the parts stand: the text is put into one order and converted once.
+    """
+    iso = None
+    for pattern, (year, month, day) in DATE_SHAPES:
+        if (year, month, day) == (1, 6, 9):
+            text = F.substring(c, 1, 10)
+        else:
+            text = F.concat_ws("-", F.substring(c, year, 4), F.substring(c, month, 2), F.substring(c, day, 2))
+        iso = F.when(c.rlike(pattern), text) if iso is None else iso.when(c.rlike(pattern), text)
+    return iso.try_cast("date")
 
 
 def date_key(d: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from assaymill.operators import joins
 from assaymill.plans import gold, silver
+from assaymill.runtime import new_scratch_path
 from assaymill.sources import retail, series
 from assaymill.sources.tables import scan_table
 
@@ -18,6 +19,10 @@ from assaymill.sources.tables import scan_table
 _SCHEMAS: dict[str, StructType] = {}
 
 
+# Raw tables written by this session: (application, folder, name) -> path.
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
@@ -104,21 +109,30 @@ class Tables:
         return gold.dim_date(window)
 
     # Raw text.
+    def written(self, name: str, df: DataFrame) -> DataFrame:
+        """A raw table as cleaning finds it: written once in a session, whole and under a new name, and read back."""
+        key = (self.spark.sparkContext.applicationId, self.dir, name)
+        if key not in _WRITTEN:
+            path = new_scratch_path(self.spark, name)
+            df.write.parquet(path)
+            _WRITTEN[key] = path
+        return scan_table(self.spark, _WRITTEN[key], schema=df.schema)
+
     @cached_property
     def bronze_sales(self) -> DataFrame:
-        return retail.dirty_sales(self.sales_feed)
+        return self.written("bronze_sales", retail.dirty_sales(self.sales_feed))
 
     @cached_property
     def bronze_customers(self) -> DataFrame:
-        return retail.dirty_customers(self.customer_feed)
+        return self.written("bronze_customers", retail.dirty_customers(self.customer_feed))
 
     @cached_property
     def bronze_products(self) -> DataFrame:
-        return retail.dirty_products(self.product_feed)
+        return self.written("bronze_products", retail.dirty_products(self.product_feed))
 
     @cached_property
     def bronze_employees(self) -> DataFrame:
-        return retail.dirty_employees(self.employee_feed)
+        return self.written("bronze_employees", retail.dirty_employees(self.employee_feed))
 
     @property
     def bronze(self) -> dict[str, DataFrame]:
