@@ -517,6 +517,31 @@ def test_weights_follow_the_definition():
     assert (10 ** model.log10(every)).sum() == pytest.approx(1, rel=1e-5)
 
 
+def test_scores_follow_the_definition(spark):
+    """Whole texts at the real depth, a bit at a time, straight from the recursive definition."""
+    depth = context_trees.DEPTH
+    texts = ["abracadabra abra", "Abba caba", "the cat and the hat", "the bat", "", None, "zebra cat abra", "é☂"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    train = F.col("doc_id") < 5
+    counts, kt, weighted = _tree([context_trees._bytes(t) for t in texts[:5]], depth)
+    share = {key: math.exp(kt(*n) - math.log(2) - weighted(*key)) if len(key[0]) < depth else 1.0 for key, n in counts.items()}
+    for r in context_trees.scores(docs, train).collect():
+        data, expected = context_trees._bytes(texts[r.doc_id]) + b"\0", 0.0
+        stream = bytes(depth) + data
+        for i in range(depth, len(stream)):
+            for bit in range(8):
+                node, one, p = (1 << bit) | stream[i] >> 8 - bit, stream[i] >> 7 - bit & 1, None
+                for d in range(depth, -1, -1):
+                    key = (stream[i - d:i], node)
+                    if key in counts:
+                        a, b = counts[key]
+                        own = ((a, b)[one] + 0.5) / (a + b + 1)
+                        p = own if p is None else share[key] * own + (1 - share[key]) * p
+                expected += math.log10(0.5 if p is None else p)
+        assert r.score == pytest.approx(expected, rel=1e-4) and r.n_bytes == len(data)
+        assert r.bits_per_byte == pytest.approx(-expected / math.log10(2) / len(data), rel=1e-4)
+
+
 # Pipeline
 
 def test_stages_take_effect(spark, sf_dir, tmp_path):
