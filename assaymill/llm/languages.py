@@ -212,7 +212,7 @@ def _predicted(frame: DataFrame, names: list[str], model: np.ndarray, carried: l
             column = batch.column("text") if "text" in batch.schema.names else batch.column("row").field("text")
             share, sure = np.zeros((batch.num_rows, max(1, len(names)))), np.zeros(batch.num_rows)
             explained = np.zeros(batch.num_rows, bool)
-            for at, texts in text_groups(column, 4 * GROUP_CHARS) if names else ():
+            for at, texts in text_groups(column) if names else ():
                 own = slice(at, at + len(texts))
                 share[own], sure[own], explained[own] = explain(texts, shared.value)
             top, peak = share.argmax(axis=1), share.max(axis=1)

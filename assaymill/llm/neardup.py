@@ -35,11 +35,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaymill.llm.common import small_batches, stored, text_groups
+from assaymill.llm.common import groups, small_batches, stored, text_groups
 from assaymill.llm.components import components
 from assaymill.llm.decontaminate import words_of
 
@@ -59,9 +60,12 @@ SIZES = np.log(1.25) / 4  # step between classes of weight, in logarithms
 BLOCK = 1 << 16  # shingles sampled at a time
 
 
+HELD_WORDS = 1 << 18  # words that a task keeps the hashes of; a worker is used again, so they go with the task
+
+
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) >= HELD_WORDS:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -70,6 +74,17 @@ class _Hashes(dict):
 _hashes = _Hashes()
 
 
+def _released(run):
+    """``run`` over the batches of a task, without the hashes it kept once it is over."""
+    def over(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _hashes.clear()
+
+    return over
+
+
 def _mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
     x = (x ^ np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15)
     x ^= x >> np.uint64(29)
@@ -181,7 +196,7 @@ def frequencies(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, float]
         bins = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, bins]), pa.array(np.r_[seen, sums[bins]])], ["bin", "n"])
 
-    counted = docs.select(F.col(text).alias("text")).mapInArrow(run, "bin bigint, n bigint") \
+    counted = docs.select(F.col(text).alias("text")).mapInArrow(_released(run), "bin bigint, n bigint") \
         .groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
     sums = np.zeros(BINS + 1)
     sums[counted["bin"].to_numpy()] = counted["n"].to_numpy()  # -1, the last, has the number of texts
@@ -223,7 +238,7 @@ def signatures(docs: DataFrame, idf, doc_id: str = "doc_id", text: str = "text")
                 ["doc_id", "h", "node", "worded", "sample"])
 
     kind = dict(rows.dtypes)["doc_id"]
-    return rows.mapInArrow(run, f"doc_id {kind}, h bigint, node binary, worded boolean, sample array<int>")
+    return rows.mapInArrow(_released(run), f"doc_id {kind}, h bigint, node binary, worded boolean, sample array<int>")
 
 
 def neighbours(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -388,7 +403,7 @@ def by_rare_shingles(texts: DataFrame, idf, sums, least: float) -> DataFrame:
 
     names = ["key", "id", "label", "whole", "rest", "probes", "one", "two"]
     kinds = "key bigint, id bigint, label bigint, whole double, rest double, probes boolean, one bigint, two bigint"
-    listed = stored(texts.mapInArrow(entries, kinds), "rare")
+    listed = stored(texts.mapInArrow(_released(entries), kinds), "rare")
     kept = stored(listed.repartitionByRange("key", "label", "id").sortWithinPartitions("key", "label", "id")
                   .mapInArrow(shared, kinds), "rare_shared")
     # Pairs inside the label that holds most of a key are never formed.
@@ -442,9 +457,12 @@ def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least:
 
     def verify(batches):
         for batch in batches:
-            keep = [similarity(words_of(u), words_of(v), shared.value) >= least
-                    for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist())]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            sizes = [pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False) for c in ("u", "v")]
+            for i, j in groups(sizes[0] + sizes[1]):
+                some = batch.slice(i, j - i)
+                keep = [similarity(words_of(u), words_of(v), shared.value) >= least
+                        for u, v in zip(some.column("u").to_pylist(), some.column("v").to_pylist())]
+                yield some.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def verified(candidates: DataFrame) -> DataFrame:
         # Both texts of each candidate meet under the candidate, not under a text.
@@ -456,7 +474,7 @@ def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least:
         both = met.groupBy("a", "b").agg(
             F.first(F.when(F.col("side") == 0, F.col("text")), ignorenulls=True).alias("u"),
             F.first(F.when(F.col("side") == 1, F.col("text")), ignorenulls=True).alias("v"))
-        return stored(both.mapInArrow(verify, "a bigint, b bigint"), "verified")
+        return stored(both.mapInArrow(_released(verify), "a bigint, b bigint"), "verified")
 
     links = verified(likely.where("step = 1"))
     labels = components(links)
