@@ -51,13 +51,17 @@ def _pattern(pattern: str):
     return regex.compile(pattern)
 
 
-def _encoded(batch: pa.RecordBatch, carried: list[str], path: str, pattern: str) -> Iterator[pa.RecordBatch]:
-    """The carried columns and the ids of the texts, some texts at a time."""
-    encoding, _ = _vocabulary(path, pattern)
+def _encoded(batch: pa.RecordBatch, carried: list[str], path: str, pattern: str,
+             decoded: str | None = None) -> Iterator[pa.RecordBatch]:
+    """The carried columns and the ids of the texts, and their bytes under the name ``decoded``, some texts at a time."""
+    encoding, table = _vocabulary(path, pattern)
     for at, texts in text_groups(batch.column("_text")):
-        lists = pa.array([np.array(encoding.encode_ordinary(t), np.int32) for t in texts], pa.list_(pa.int32()))
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c).slice(at, len(texts)) for c in carried), lists], [*carried, "ids"])
+        ids = [encoding.encode_ordinary(t) for t in texts]
+        columns = [*(batch.column(c).slice(at, len(texts)) for c in carried),
+                   pa.array([np.array(i, np.int32) for i in ids], pa.list_(pa.int32()))]
+        if decoded:
+            columns.append(pa.array([b"".join([table[i] for i in own]) for own in ids], pa.binary()))
+        yield pa.RecordBatch.from_arrays(columns, [*carried, "ids", *([decoded] if decoded else [])])
 
 
 def _starts(text: str, pattern: str) -> list[int]:
@@ -104,8 +108,12 @@ def stitch(marks: DataFrame) -> DataFrame:
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
-           chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """The columns in ``keep``, then ``ids`` (array of int), for every row."""
+           chunk: int = CHUNK, overlap: int = OVERLAP, decoded: str | None = None) -> DataFrame:
+    """The columns in ``keep``, then ``ids`` (array of int), for every row.
+
+    ``decoded`` names a further column with the bytes that the ids decode to. It is made where the ids are,
+    so that a task needs one Python worker for both.
+    """
     small_batches(docs.sparkSession)
     if not 2 * GUARD < overlap <= chunk:
         raise ValueError("the overlap must be longer than twice the guard and no longer than a chunk")
@@ -117,11 +125,12 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: t
 
     def run(batches):
         for batch in batches:
-            yield from _encoded(batch, carried, path, pattern)
+            yield from _encoded(batch, carried, path, pattern, decoded)
 
     carried = list(names)
     head = "".join(f"{c} {kinds[c]}, " for c in carried)
-    short = named.where(F.length("_text") <= chunk).mapInArrow(run, head + "ids array<int>")
+    short = named.where(F.length("_text") <= chunk).mapInArrow(
+        run, head + "ids array<int>" + (f", `{decoded}` binary" if decoded else ""))
 
     # Long texts, each once however many rows have it.
     long = named.where(F.length("_text") > chunk).withColumn("blob", F.sha2(F.col("_text").cast("binary"), 256))
@@ -148,6 +157,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: t
     whole = encoded.groupBy("blob").agg(F.flatten(F.transform(
         F.array_sort(F.collect_list(F.struct("n", "ids"))), lambda x: x["ids"])).alias("ids"))
     joined = long.drop("_text").join(stored(whole, "long-ids"), "blob").select(*carried, "ids")
+    if decoded:
+        joined = decode(joined, path, pattern, out=decoded)
     return short.unionByName(joined).withColumnsRenamed(names)
 
 

@@ -595,3 +595,14 @@ def test_texts_that_are_known_are_not_moved(spark):
     again = secrets.scan(new, ["path"], ledger=ledger)
     assert again.ledger.count() == 3 and again.by_path.count() == 4
     assert {r.path: len(r.results["assign@1"]) for r in again.by_path.collect()} == {"a": 1, "b": 0, "c": 0, "d": 1}
+
+
+def test_encoding_decodes_in_the_same_pass(spark, odd):
+    rows = odd.withColumn("at", F.monotonically_increasing_id())
+    args = (queries.VOCABULARY, public_tokenizers.PATTERN)
+    both = bpe.encode(rows, *args, keep=("doc_id", "at", "h"), chunk=4096, overlap=512, decoded="bytes")
+    apart = bpe.decode(bpe.encode(rows, *args, keep=("doc_id", "at", "h"), chunk=4096, overlap=512), *args, out="bytes")
+    assert both.dtypes == apart.dtypes
+    got = sorted((r.at, tuple(r.ids), bytes(r.bytes)) for r in both.collect())
+    assert got == sorted((r.at, tuple(r.ids), bytes(r.bytes)) for r in apart.collect())
+    assert [b for _, _, b in got] == [(r.text or "").encode() for r in sorted(rows.collect(), key=lambda r: r.at)]
