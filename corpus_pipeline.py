@@ -51,8 +51,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, ids, n_tokens, and whether the ids decode to the text."""
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     rows = docs.select("doc_id", "lang", "source", "text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("sha"))
-    encoded = bpe.encode(rows, path, pattern, keep=("doc_id", "lang", "source", "sha"))
-    decoded = bpe.decode(encoded, path, pattern)
+    decoded = bpe.encode(rows, path, pattern, keep=("doc_id", "lang", "source", "sha"), decoded="decoded")
     return decoded.select("doc_id", "lang", "source", "ids", F.size("ids").cast("bigint").alias("n_tokens"),
                           (F.sha2("decoded", 256) == F.col("sha")).alias("round_trip"))
 
