@@ -5,8 +5,8 @@ its paragraphs' vectors, each lane modulo 2**32. So the order of paragraphs does
 and adding or removing one is an addition or subtraction (``add``, ``subtract``).
 
 The vector has two parts. ``EXACT`` lanes come from the paragraph as a whole and decide
-equality. The other lanes count, over the paragraph's shingles of ``SHINGLE`` words whose hash ``SAMPLED``
-divides, how many of these 64-bit hashes have a given bit set; both belong to the paragraph alone. A word is what stands between white space; in scripts that are
+equality. The other lanes count, over all of the paragraph's shingles of ``SHINGLE`` words, how many of
+their 64-bit hashes have a given bit set; both belong to the paragraph alone. A word is what stands between white space; in scripts that are
 written without spaces each character is one. Two bits share a long, 32 bits apart, so that
 one addition serves both and no lane runs over. Around their mean these counters are a random projection of
 the shingles, so ``likeness`` reads 2<a,b> / (<a,a> + <b,b>) from them; its standard error is
@@ -20,6 +20,8 @@ shingles' hashes. Only the named columns are read, so others may be called anyth
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,9 +30,10 @@ from assaymill.operators.ordered import sliced
 EXACT = 16
 PACKED = 32  # longs that hold the 64 bit counters
 LOW = 0xFFFFFFFF
-BITS = 0x0000000100000001
+# Bits of a counter, and how many sums of the counters before fit into one, a sign bit left free: 7 hashes
+# into four bits, 18 such sums (126 hashes) into eight, any number of those into 32.
+WIDTHS = [(4, 7), (8, 18), (32, None)]
 SHINGLE = 3
-SAMPLED = 5  # one shingle in so many counts, whatever the text's length; chosen by its hash
 # Thai, Lao, Tibetan, Burmese, Khmer, kana, Han: written without spaces between words.
 UNSPACED = r"\u0E00-\u0FFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}"
 WORD = rf"[{UNSPACED}]|[^\s{UNSPACED}]+"
@@ -56,9 +59,48 @@ def fingerprint(text: Column) -> Column:
                    else F.shiftrightunsigned(h[i // 2], 32))).bitwiseAND(F.lit(LOW))
         for i in range(EXACT)]))
     shingles = F.flatten(F.transform(F.split(text, "\n", -1), _shingles))
-    counters = F.aggregate(shingles, _zeros(PACKED), lambda acc, h: F.array(*[
-        acc[i] + F.shiftrightunsigned(h, i).bitwiseAND(F.lit(BITS)) for i in range(PACKED)]))
-    return F.concat(exact, counters, F.array(F.size(shingles).cast("bigint")))
+    return F.concat(exact, _once(shingles, lambda s: F.concat(_bit_counts(s), F.array(F.size(s).cast("bigint")))))
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, which may name the value several times, with the value worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _bit_counts(hashes: Column) -> Column:
+    """How many hashes have each bit set: ``PACKED`` longs, bit i in the low half of long i, bit i + 32 in its high half.
+
+    A long holds the counters of every w-th bit, so w longs take in a hash by w additions. Small
+    counters are added up into wider ones before one can run over; nothing is left out.
+    """
+    sums, before = hashes, 1
+    for width, fit in WIDTHS:
+        add_up = _added(before, width)
+        sums, before = _once(sums, add_up if fit is None else _in_groups(add_up, fit)), width
+    return sums
+
+
+def _added(before: int, width: int) -> Callable[[Column], Column]:
+    """Adds up longs with counters of ``before`` bits (hashes: of one) into ``width`` longs with counters of ``width`` bits."""
+    mask = sum(((1 << before) - 1) << at for at in range(0, 64, width))
+    field = F.lit(int.from_bytes(mask.to_bytes(8), signed=True))
+
+    def counter(group: Column, j: Column) -> Column:
+        def plus(acc: Column, x: Column) -> Column:
+            own, by = (x, j) if before == 1 else (F.get(x, j % before), j - j % before)
+            return acc + F.call_function("shiftrightunsigned", own, by).bitwiseAND(field)
+
+        return F.aggregate(group, F.lit(0).cast("bigint"), plus)
+
+    return lambda group: F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda j: counter(group, j))
+
+
+def _in_groups(add_up: Callable[[Column], Column], fit: int) -> Callable[[Column], Column]:
+    def run(s: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.size(s) + 1, F.lit(fit)), lambda at: at <= F.size(s))
+        return F.transform(starts, lambda at: _once(F.slice(s, at, F.lit(fit)), add_up))
+
+    return run
 
 
 def _shingles(paragraph: Column) -> Column:
@@ -66,10 +108,9 @@ def _shingles(paragraph: Column) -> Column:
     def runs(words: Column) -> Column:
         starts = F.sequence(F.lit(0), F.greatest(F.size(words) - SHINGLE, F.lit(0)))
         hashes = F.transform(starts, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(SHINGLE)]))
-        chosen = F.filter(hashes, lambda h: h % SAMPLED == 0)
-        return F.when(F.size(words) > 0, chosen).otherwise(F.array().cast("array<bigint>"))
+        return F.when(F.size(words) > 0, hashes).otherwise(F.array().cast("array<bigint>"))
 
-    return F.get(F.transform(F.array(F.regexp_extract_all(paragraph, F.lit(WORD), F.lit(0))), runs), F.lit(0))
+    return _once(F.regexp_extract_all(paragraph, F.lit(WORD), F.lit(0)), runs)
 
 
 def _lanewise(a: Column, b: Column, sign: int) -> Column:

@@ -89,3 +89,16 @@ def test_hot_and_null_ids_follow_each_other_across_slices(spark):
 
 def test_no_rows(spark):
     assert fingerprints.fingerprints(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_every_shingle_counts(spark):
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(9000)}" for _ in range(n)) for n in (0, 1, 3, 16, 17, 18, 256, 257, 258, 600, 4100)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    words = F.split("text", " ")
+    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - 3, F.lit(0))),
+                       lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(3)]))
+    for r in df.select("i", fingerprints.fingerprint(F.col("text")).alias("p"), runs.alias("runs")).collect():
+        hashes = r.runs if texts[r.i] else []
+        bits = [sum(h >> b & 1 for h in hashes) for b in range(64)]
+        assert r.p[fingerprints.EXACT:] == [bits[i] + (bits[i + 32] << 32) for i in range(32)] + [len(hashes)]
