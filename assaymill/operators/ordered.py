@@ -7,7 +7,9 @@ at most two rows per slice carries results from one slice to the next.
 
 The slices are cut at ``bounds``: quantiles of the order columns, drawn from a sample when the
 frame is built and from then on constants. So the slice of a row follows from the row
-alone, is the same in every pass and after a task is run again, and nothing has to be written.
+alone and is the same in every pass and after a task is run again. As the rows are read several times, to
+draw bounds, for the edges of the slices and inside them, they are written once and read back (``_read_often``),
+whatever it took to compute them.
 
 Order columns are names or columns, ascending with nulls first; ``descending`` turns one
 around, with nulls last.
@@ -22,7 +24,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from assaymill.runtime import bounded, dealt
+from pyspark.sql.types import NullType
+
+from assaymill.runtime import bounded, dealt, new_scratch_path
 
 DRAWN = 20  # sampled rows for each bound
 BOUND_CHARS = 1024  # texts are cut to this length in a bound; rows that agree so far share a slice
@@ -63,6 +67,15 @@ def _reaches(keys: Sequence[Key], bound: Column) -> Column:
     return reaches
 
 
+def _read_often(df: DataFrame) -> DataFrame:
+    """``df`` written once to a scratch folder and read back, so that several passes do not each compute it."""
+    if any(isinstance(f.dataType, NullType) for f in df.schema):
+        return df  # files hold no columns without a type
+    path = new_scratch_path(df.sparkSession, "ordered")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def sliced(df: DataFrame, keys: Sequence[Key], edges: bool = False) -> DataFrame:
     """``df`` with ``_slice``: how many bounds a row reaches, found by halving.
 
@@ -145,7 +158,7 @@ def prefix_sums(
     ``order`` must be total within a group, else ties are broken arbitrarily.
     """
     addends = {f"_add_{name}": value for name, value in sums.items()}
-    prepared = df.select("*", *[v.cast("long").alias(a) for a, v in addends.items()])
+    prepared = _read_often(df).select("*", *[v.cast("long").alias(a) for a, v in addends.items()])
     cut = sliced(prepared, [*group, *order])
     edges = cut.groupBy(*group, "_slice").agg(*[F.sum(a).alias(a) for a in addends])
     carried = _carried(edges, group, {
@@ -206,7 +219,7 @@ def running_extreme(
 ) -> DataFrame:
     """The largest (or smallest) value so far, per group along a total order; nulls count for nothing."""
     best, either = (F.max, F.greatest) if largest else (F.min, F.least)
-    cut = sliced(df, [*group, *order])
+    cut = sliced(_read_often(df), [*group, *order])
     carried = _carried(cut.groupBy(*group, "_slice").agg(best(value).alias("_edge")), group, {
         "_carry": lambda w: best("_edge").over(w)})
     local = cut.withColumn("_run", best(value).over(_inside(group, order)))
@@ -215,7 +228,7 @@ def running_extreme(
 
 def last_known(df: DataFrame, group: Sequence[str], order: Sequence[Key], value: str, name: str) -> DataFrame:
     """The last value so far that is not null (current row included), per group along a total order."""
-    cut = sliced(df, [*group, *order])
+    cut = sliced(_read_often(df), [*group, *order])
     placed = cut.withColumn("_at", F.row_number().over(
         Window.partitionBy("_slice", *group).orderBy(*map(_sorted, order))))
     known = F.max_by(value, F.when(F.col(value).isNotNull(), F.col("_at")))
@@ -281,7 +294,7 @@ def page(df: DataFrame, order: Sequence[Key], offset: int, limit: int) -> DataFr
 
     Counts per slice tell which slices hold the page; only their rows are sorted.
     """
-    cut = sliced(df, order)
+    cut = sliced(_read_often(df), order)
     counts = cut.groupBy("_slice").agg(F.count("*").alias("_rows"))
     upto = counts.withColumn("_upto", F.sum("_rows").over(Window.orderBy("_slice")))  # a row per slice
     held = upto.where((F.col("_upto") > offset) & (F.col("_upto") - F.col("_rows") < offset + limit))

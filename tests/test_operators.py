@@ -200,3 +200,27 @@ def test_lookup_small_keeps_unmatched_lines(spark):
     lines = spark.createDataFrame([(1, 1), (2, 9), (3, None)], "id int, k int")
     dim = spark.createDataFrame([(1, "one"), (2, "two")], "k int, name string")
     assert rows(bi.lookup_small(lines, dim, "k"), "id", "name") == [(1, "one"), (2, None), (3, None)]
+
+
+def counted(df, seen):
+    """``df``, counting in ``seen`` how often a row of it is computed."""
+    def run(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(run, df.schema)
+
+
+def test_ordered_operators_compute_their_input_once(spark):
+    rows = [(i % 2, i, (i * 37) % 50 if i % 3 else None) for i in range(300)]
+    df = spark.createDataFrame(rows, "g int, at int, v int")
+    for operate in (
+        lambda d: ordered.following_value(d, ["g"], ["at"], "v", "out", 2),
+        lambda d: ordered.running_extreme(d, ["g"], ["at"], "v", "out"),
+        lambda d: ordered.last_known(d, ["g"], ["at"], "v", "out"),
+        lambda d: ordered.page(d, ["at"], 100, 20),
+    ):
+        seen = spark.sparkContext.accumulator(0)
+        assert operate(counted(df, seen)).collect()
+        assert seen.value == len(rows)
