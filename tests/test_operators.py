@@ -9,6 +9,8 @@ from assaymill.functions.text import normalized_key
 from assaymill.operators import changes, groups, joins, keys, ordered, quality
 from assaymill.plans import bi
 from assaymill.sources import series, sinks, tables
+from catalog import datasets
+from catalog.inputs import Tables
 
 
 def rows(df, *columns):
@@ -224,3 +226,17 @@ def test_ordered_operators_compute_their_input_once(spark):
         seen = spark.sparkContext.accumulator(0)
         assert operate(counted(df, seen)).collect()
         assert seen.value == len(rows)
+
+
+def test_refreshed_rollups_compute_the_lines_once(spark, tmp_path):
+    day = dt.date(2001, 6, 8)
+    lines = [(o, n, o % 5, o % 7, day + dt.timedelta(o % 6), 20010608 + o % 6, n, 1.25 * n) for o in range(60) for n in (1, 2)]
+    fact = spark.createDataFrame(lines, "order_id long, order_line_id int, customer_id long, product_id long, order_date date, "
+                                 "datekey int, quantity int, net_amount double")
+    seen = spark.sparkContext.accumulator(0)
+    t = Tables(spark, str(tmp_path))
+    t.__dict__["fact"] = counted(fact, seen)
+    t.__dict__["products"] = spark.createDataFrame([(p, "c") for p in range(7)], "product_id long, category string")
+    days = spark.read.parquet(f"{datasets._refreshed(t)}/days")
+    assert days.agg({"cents": "sum"}).first()[0] == sum(round(line[-1] * 100) for line in lines)
+    assert seen.value == len(lines)
