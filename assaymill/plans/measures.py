@@ -49,17 +49,21 @@ def _definitions() -> dict[str, tuple[list[str], Column]]:
 
 
 def measures(
-    df: DataFrame, names: Sequence[str], by: Sequence[str] = (), where: Column | None = None
+    df: DataFrame, names: Sequence[str], by: Sequence[str] = (), where: Column | None = None, tasks: int = 0
 ) -> DataFrame:
     """The named measures per combination of ``by`` over the rows that pass ``where``.
 
-    ``df`` is the fact with the dimension attributes it is sliced by.
+    ``df`` is the fact with the dimension attributes it is sliced by. A distinct count of one id holds the
+    pairs (group, id) in hash tables; with ``tasks`` the rows are first dealt to that many tasks by group and id.
     """
     defined = _definitions()
     rows = df if where is None else df.where(where)
     needed = list(dict.fromkeys(base for n in names for base in defined[n][0]))
     sums = {k: v for k, v in _sums().items() if k in needed}
-    sums |= {k: F.count_distinct(c) for k, c in _DISTINCT.items() if k in needed}
+    distinct = {k: c for k, c in _DISTINCT.items() if k in needed}
+    sums |= {k: F.count_distinct(c) for k, c in distinct.items()}
+    if tasks and len(distinct) == 1:
+        rows = rows.repartition(tasks, *by, *distinct.values())
     out = rows.groupBy(*by).agg(*[v.alias(k) for k, v in sums.items()])
     return out.select(*by, *[defined[n][1].alias(n) for n in names])
 

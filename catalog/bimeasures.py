@@ -10,7 +10,7 @@ from assaymill.functions.numbers import money_sum
 from assaymill.operators import presence, quality
 from assaymill.plans import bi
 from assaymill.plans.measures import measures, prior_year, same_period_last_year
-from assaymill.runtime import new_scratch_path
+from assaymill.runtime import new_scratch_path, tasks_for
 from assaymill.sources.sinks import create_or_replace
 from catalog.model_sql import esum, isum, sql
 from catalog.registry import query
@@ -41,17 +41,22 @@ def _model(t, *attributes: str):
         a for a in ("year", "month", "month_name", "date") if a in attributes])
     out = t.fact
     if len(goods.columns) > 1:
-        out = out.join(goods, "product_id", "left")
+        # Not broadcast, the join also gets as many tasks as the lines need.
+        out = out.join(goods.repartition(_tasks(t), "product_id"), "product_id", "left")
     if len(days.columns) > 1:
         out = out.join(days, "datekey", "left")
     return out
 
 
+def _tasks(t) -> int:
+    return tasks_for(t.spark, t.raw("lineitem").count())
+
+
 def _register(name: str, expression: str) -> None:
     statement = sql(f"SELECT category, year, {expression} AS {name} FROM model GROUP BY category, year",
                     model=MODEL)
     attributes = ["category", "year"] + (["unit_cost"] if "unit_cost" in expression else [])
-    query(name, statement)(lambda t: measures(_model(t, *attributes), [name], ["category", "year"]))
+    query(name, statement)(lambda t: measures(_model(t, *attributes), [name], ["category", "year"], tasks=_tasks(t)))
 
 
 _register("total_gross_revenue", GROSS)
@@ -166,7 +171,7 @@ def visual_queries(t):
     return measures(
         _model(t, "product_name", "category", "brand", "unit_cost"),
         ["total_net_revenue", "total_units_sold", "total_orders", "gross_margin"],
-        ["product_name", "category", "brand"])
+        ["product_name", "category", "brand"], tasks=_tasks(t))
 
 
 @query("visual_category_bar", sql(f"""
@@ -216,4 +221,4 @@ def visual_month_bar(t):
     WHERE order_date BETWEEN DATE '{FROM_DAY}' AND DATE '{TO_DAY}' GROUP BY order_date"""))
 def visual_daily_trend(t):
     return measures(t.fact, ["total_net_revenue", "average_order_value"], ["order_date"],
-                    F.col("order_date").between(FROM_DAY, TO_DAY))
+                    F.col("order_date").between(FROM_DAY, TO_DAY), _tasks(t))
